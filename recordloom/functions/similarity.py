@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ PREFIX_WEIGHT = 0.1
 BOOST_ABOVE = 0.7
 
 _WORDS = 4  # 256 signature bits
-_MASK_BUDGET = 1 << 24  # bytes of position masks held at a time, for some 64 byte values in use
+_BLOCK_BYTES = 1 << 18  # text bytes scored at a time, per side
 
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -36,21 +36,21 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _matrix(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Byte rows padded to a common width; the padding is never read as text."""
+    """Byte rows padded to a common width with 255, which no UTF-8 text contains."""
     width = max(int(lengths.max(initial=0)), 1)
     at = np.arange(width)
     inside = at < lengths[:, None]
-    out = np.zeros((len(starts), width), np.uint8)
+    out = np.full((len(starts), width), 255, np.uint8)
     out[inside] = raw[(starts[:, None] + at)[inside]]
     return out
 
 
-# Entry k is a word with its lowest k bits set.
-_LOW_BITS = np.array([(1 << k) - 1 for k in range(65)], np.uint64)
-
-
-def _low_bits(count: np.ndarray) -> np.ndarray:
-    return _LOW_BITS[np.clip(count, 0, 64)]
+def _by_value(m: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of each row ordered by byte value, flat, and the count per (row, value)."""
+    order = np.argsort(m, axis=1, kind="stable")
+    positions = order[np.arange(m.shape[1]) < lengths[:, None]]
+    cells = np.repeat(np.arange(len(m)) * 256, lengths) + m[m != 255]
+    return positions, np.bincount(cells, minlength=len(m) * 256)
 
 
 def _jaro_winkler_block(
@@ -58,43 +58,43 @@ def _jaro_winkler_block(
 ) -> np.ndarray:
     """Scores of non-empty byte rows.
 
-    Positions of ``b`` are bits of machine words, so one pass over the bytes of
-    ``a`` settles the greedy matching of every pair in the block at once.
+    Greedy matching pairs equal bytes only, so each (pair, byte value) is a merge of
+    two ascending position lists.  All of them advance together, one occurrence at a
+    time.
     """
-    n, width_a = a.shape
-    width_b = b.shape[1]
-    words = (width_b + 63) // 64
+    n = len(a)
     rows = np.arange(n)
+    positions_a, counts_a = _by_value(a, la)
+    positions_b, counts_b = _by_value(b, lb)
+    window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
 
-    # Number the byte values in use, to keep the position masks small.
-    number = np.zeros(256, np.int64)
-    used = np.union1d(a, b)
-    number[used] = np.arange(len(used))
-    coded_a, coded_b = number[a], number[b]
-    places = np.zeros((n, len(used), words), np.uint64)
-    for j in range(width_b):
-        live = rows[j < lb]
-        places[live, coded_b[live, j], j // 64] |= np.uint64(1) << np.uint64(j % 64)
+    groups = np.flatnonzero((counts_a > 0) & (counts_b > 0))
+    groups = groups[np.argsort(-counts_a[groups], kind="stable")]
+    sizes = counts_a[groups]
+    at_a = (np.cumsum(counts_a) - counts_a)[groups]
+    at_b = (np.cumsum(counts_b) - counts_b)[groups]
+    end_b = at_b + counts_b[groups]
+    reach = window[groups // 256]
+    owner = groups // 256
+    hit_a, hit_b = np.zeros(a.shape, bool), np.zeros(b.shape, bool)
+    positions_b = np.append(positions_b, 0)  # read, never used, past the last group
+    active = len(groups) - np.searchsorted(sizes[::-1], np.arange(sizes.max(initial=0)), "right")
+    for k, live in enumerate(active):
+        i = positions_a[at_a[:live] + k]
+        at, end = at_b[:live], end_b[:live]
+        low = i - reach[:live]
+        behind = np.flatnonzero((at < end) & (positions_b[at] < low))
+        while len(behind):
+            at[behind] += 1
+            behind = behind[
+                (at[behind] < end[behind]) & (positions_b[at[behind]] < low[behind])
+            ]
+        j = positions_b[at]
+        hit = np.flatnonzero((at < end) & (j <= i + reach[:live]))
+        hit_a[owner[hit], i[hit]] = True
+        hit_b[owner[hit], j[hit]] = True
+        at[hit] += 1
 
-    window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
-    taken = np.zeros((n, words), np.uint64)
-    hit_a = np.zeros((n, width_a), bool)
-    word_starts = 64 * np.arange(words)
-    for i in range(width_a):
-        live = rows[i < la]
-        low = np.maximum(i - window[live], 0)[:, None] - word_starts
-        high = np.minimum(i + window[live] + 1, lb[live])[:, None] - word_starts
-        span = _low_bits(high) & ~_low_bits(low)
-        free = places[live, coded_a[live, i]] & ~taken[live] & span
-        # The first free place is the lowest bit of the first word that has one.
-        at = (free != 0).argmax(axis=1) if words > 1 else np.zeros(len(live), np.int64)
-        word = free[np.arange(len(live)), at]
-        taken[live, at] |= word & (~word + np.uint64(1))
-        hit_a[live, i] = word != 0
-
-    hit_b = np.unpackbits(
-        taken.view(np.uint8).reshape(n, -1), axis=1, bitorder="little"
-    )[:, :width_b].astype(bool)
     matches = hit_a.sum(axis=1)
     # Both sides hold the same number of matched bytes per row, so the two
     # flattened runs line up.
@@ -107,7 +107,7 @@ def _jaro_winkler_block(
 
     shared = np.zeros(n, np.int64)
     running = np.ones(n, bool)
-    for k in range(min(PREFIX_LIMIT, width_a, width_b)):
+    for k in range(min(PREFIX_LIMIT, a.shape[1], b.shape[1])):
         running &= (k < la) & (k < lb) & (a[:, k] == b[:, k])
         shared += running
     return np.where(jaro > BOOST_ABOVE, jaro + shared * PREFIX_WEIGHT * (1 - jaro), jaro)
@@ -120,14 +120,14 @@ def score_pairs(left: pa.Array, right: pa.Array) -> np.ndarray:
     scores = np.zeros(len(left))
     pairs = np.flatnonzero((la > 0) & (lb > 0))
     # Pairs of like length share a block, so padding stays small.
-    pairs = pairs[np.lexsort((la[pairs], lb[pairs]))]
+    pairs = pairs[np.argsort(np.maximum(la, lb)[pairs], kind="stable")]
+    longest = np.maximum(la, lb)[pairs]
     done = 0
     while done < len(pairs):
-        words = (int(lb[pairs[done]]) + 63) // 64
-        # Lengths only grow along the order, so a block ends where another word begins.
-        limit = np.searchsorted(lb[pairs], 64 * words, side="right")
-        room = max(_MASK_BUDGET // (64 * 8 * words), 1)
-        block = pairs[done : min(limit, done + room)]
+        # At most this many bytes per side, and no text over twice the shortest one.
+        size = longest[done]
+        similar = int(np.searchsorted(longest, 2 * size, side="right"))
+        block = pairs[done : min(similar, done + max(_BLOCK_BYTES // int(2 * size), 1))]
         scores[block] = _jaro_winkler_block(
             _matrix(raw_a, start_a[block], la[block]),
             la[block],
@@ -144,9 +144,14 @@ def _jaro_winkler(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(score_pairs(left, right), pa.float64(), mask=unknown)
 
 
+# Declared non-deterministic so that a filter on the score is not moved below its
+# projection, which would compute every score twice.
+_score_once = _jaro_winkler.asNondeterministic()
+
+
 def jaro_winkler(a: Column | str, b: Column | str) -> Column:
     """Byte-wise Jaro-Winkler similarity; NULL if either text is NULL, 0 if either is empty."""
-    return _jaro_winkler(as_column(a), as_column(b))
+    return _score_once(as_column(a), as_column(b))
 
 
 _SIGNATURE = pa.struct(
@@ -216,40 +221,52 @@ def _signature(column: pa.Array) -> pa.Array:
     return signatures(column)
 
 
-def signature(c: Column | str) -> Column:
-    """Sketch for ``could_exceed``: linear in the text, computed once per text."""
-    return _signature(as_column(c))
+def with_signature(df: DataFrame, text: str) -> DataFrame:
+    """Add the sketch columns ``could_exceed`` reads: linear in the text, once per text."""
+    return df.withColumn("_sketch", _signature(F.col(text))).select("*", "_sketch.*").drop("_sketch")
+
+
+SIGNATURE_COLUMNS = tuple(_SIGNATURE.names)
 
 
 def could_exceed(left: str, right: str, threshold: float) -> Column:
     """False only for pairs whose score provably stays at or below ``threshold``.
 
-    ``left`` and ``right`` name signature columns.  With at most M matched bytes,
-    jaro <= (M/la + M/lb + 1) / 3, and M cannot exceed a side's length less the
-    bits only that side has set.  The shared prefix enters with its true length.
+    ``left`` and ``right`` are the suffixes of the sketch columns.  With at most M
+    matched bytes, jaro <= (M/la + M/lb + 1) / 3, and M cannot exceed a side's length
+    less the bits only that side has set.  A shared prefix of p bytes lowers the jaro
+    a pair needs to (t - p/10) / (1 - p/10).  The cheap length test comes first.
     Every operation is a built-in on integers, so the test runs inside the join.
     """
-    la, lb = F.col(f"{left}.size"), F.col(f"{right}.size")
-
-    def bits(side: str, w: int) -> Column:
-        return F.col(f"{side}.bits{w}")
+    la, lb = F.col(f"size_{left}"), F.col(f"size_{right}")
 
     def only_in(one: str, other: str) -> Column:
         counts = [
-            F.bit_count(bits(one, w).bitwiseAND(F.bitwise_not(bits(other, w))))
+            F.bit_count(
+                F.col(f"bits{w}_{one}").bitwiseAND(F.bitwise_not(F.col(f"bits{w}_{other}")))
+            )
             for w in range(_WORDS)
         ]
         return sum(counts[1:], counts[0])
 
-    matched = F.least(la - only_in(left, right), lb - only_in(right, left))
-    jaro = (matched / la + matched / lb + F.lit(1.0)) / 3
-    differing = F.col(f"{left}.head").bitwiseXOR(F.col(f"{right}.head"))
-    prefix = (
-        F.when(differing == 0, F.lit(4.0))
-        .when(F.shiftrightunsigned(differing, 8) == 0, F.lit(3.0))
-        .when(F.shiftrightunsigned(differing, 16) == 0, F.lit(2.0))
-        .when(F.shiftrightunsigned(differing, 24) == 0, F.lit(1.0))
-        .otherwise(F.lit(0.0))
+    def needed(prefix: int) -> Column:
+        boost = prefix * PREFIX_WEIGHT
+        return F.lit(3 * (threshold - boost) / (1 - boost) - 1 - 1e-9)
+
+    differing = F.col(f"head_{left}").bitwiseXOR(F.col(f"head_{right}"))
+    share = (
+        F.when(differing == 0, needed(4))
+        .when(F.shiftrightunsigned(differing, 8) == 0, needed(3))
+        .when(F.shiftrightunsigned(differing, 16) == 0, needed(2))
+        .when(F.shiftrightunsigned(differing, 24) == 0, needed(1))
+        .otherwise(needed(0))
+    )
+    # M * (1/la + 1/lb) > share, for M the shorter length and then for each side's bound.
+    total = la + lb
+    return (
+        (la > 0)
+        & (lb > 0)
+        & (total > share * F.greatest(la, lb))
+        & ((la - only_in(left, right)) * total > share * la * lb)
+        & ((lb - only_in(right, left)) * total > share * la * lb)
     )
-    bound = jaro + prefix * PREFIX_WEIGHT * (F.lit(1.0) - jaro)
-    return (la > 0) & (lb > 0) & (bound > threshold - 1e-9)

@@ -11,12 +11,16 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.geo import haversine_m
-from ..functions.similarity import could_exceed, jaro_winkler, signature
+from ..functions.similarity import SIGNATURE_COLUMNS, could_exceed, jaro_winkler, with_signature
 from ..session import stage
 from .joins import anti_not_in, split_hot_keys
 from .numbering import number_rows
 from .shape import stack
 
+# Distinct texts of one block that meet in one task, per side.  A pair here costs far
+# more than the bytes of its two rows, so chunks are small.
+SCORED_CHUNK_ROWS = 512
+
 
 @dataclass(frozen=True)
 class LinkRule:
@@ -84,19 +88,23 @@ def similar_texts(
 
     def sketched(df: DataFrame) -> DataFrame:
         texts = df.select(*block, F.col(text).alias("_text")).dropna().distinct()
-        return stage(texts.withColumn("_sig", signature("_text")), "texts")
+        return stage(with_signature(texts, "_text"), "texts")
 
     def named(df: DataFrame, suffix: str) -> DataFrame:
-        return df.withColumnsRenamed({"_text": f"_text_{suffix}", "_sig": f"_sig_{suffix}"})
+        return df.withColumnsRenamed(
+            {c: f"{c}_{suffix}" for c in ("_text", *SIGNATURE_COLUMNS)}
+        )
 
     texts = sketched(left)
     a = named(texts, "a")
     b = named(texts if right is left else sketched(right), "b")
-    a, b, keys = split_hot_keys(a, b, block, F.col("_text_a"), F.col("_text_b"))
+    a, b, keys = split_hot_keys(
+        a, b, block, F.col("_text_a"), F.col("_text_b"), SCORED_CHUNK_ROWS
+    )
     # The work here is pairs, not bytes, so the partition count must not be coalesced.
     parts = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a, b = a.repartition(parts, *keys), b.repartition(parts, *keys)
-    condition = could_exceed("_sig_a", "_sig_b", threshold)
+    condition = could_exceed("a", "b", threshold)
     if ordered:
         condition &= F.col("_text_a") < F.col("_text_b")
     candidates = a.join(b, keys).filter(condition).select(*block, "_text_a", "_text_b")
