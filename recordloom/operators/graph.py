@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -39,9 +39,13 @@ def _downward(edges: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    mix = F.xxhash64("u", "v").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(mix)).first())
+def _settle(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The staged edges and a fingerprint of their set, taken while they are written."""
+    seen = Observation()
+    mix = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    watched = edges.observe(seen, F.count(F.lit(1)).alias("n"), mix.alias("mix"))
+    staged = stage(watched, "edges")
+    return staged, (seen.get["n"], seen.get["mix"])
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -50,12 +54,10 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     Each round is a grouped minimum, which combines before the shuffle, and a join
     with it.  Rounds are staged, so a lost executor repeats one round only.
     """
-    current = stage(_downward(edges.select(F.col(u).alias("u"), F.col(v).alias("v"))), "edges")
-    mark = _fingerprint(current)
+    current, mark = _settle(_downward(edges.select(F.col(u).alias("u"), F.col(v).alias("v"))))
     while True:
         larger = _downward(_large_star(current))
-        current = stage(_downward(_small_star(larger)), "edges")
-        after = _fingerprint(current)
+        current, after = _settle(_downward(_small_star(larger)))
         if after == mark:
             break
         mark = after

@@ -42,14 +42,14 @@ def ensure_not_all_null(df: DataFrame, columns: Iterable[str], context: str) ->
     """Absent columns are ignored; with no rows every present column fails."""
     present = [c for c in columns if c in df.columns]
     if present:
-        known = df.agg(*[F.count(_known(df, c)).alias(c) for c in present]).first()
+        known = df.agg(*[F.count(known_value(df, c)).alias(c) for c in present]).first()
         empty = [c for c in present if known[c] == 0]
         if empty:
             raise CheckError(f"{context}: columns entirely null {empty}")
     return df
 
 
-def _known(df: DataFrame, column: str) -> Column:
+def known_value(df: DataFrame, column: str) -> Column:
     """The column with NaN counted as missing."""
     if dict(df.dtypes).get(column) in ("double", "float"):
         return F.when(~F.isnan(column), F.col(column))
@@ -63,7 +63,7 @@ def null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
         return df.sparkSession.createDataFrame([], "column_name string, nulls long, total long")
     counted = df.agg(
         F.count(F.lit(1)).alias("_total"),
-        *[F.count(_known(df, c)).alias(f"_known_{i}") for i, c in enumerate(present)],
+        *[F.count(known_value(df, c)).alias(f"_known_{i}") for i, c in enumerate(present)],
     )
     entries = F.array(
         *[
@@ -86,6 +86,11 @@ def null_rates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     )
 
 
+def rate(part: int, whole: int) -> float:
+    """Share rounded to four places, ties to even."""
+    return float(np.round(part / whole, 4))
+
+
 def summarize_null_rates(df: DataFrame, columns: Iterable[str]) -> dict[str, float]:
     """``{null_pct_<column>: rate}``; without rows, 0.0 for every requested column."""
     columns = list(columns)
@@ -93,7 +98,7 @@ def summarize_null_rates(df: DataFrame, columns: Iterable[str]) -> dict[str, flo
     if rows[0]["total"] == 0 if rows else df.isEmpty():
         return {f"null_pct_{c}": 0.0 for c in columns}
     return {
-        f"null_pct_{r['column_name']}": float(np.round(r["nulls"] / r["total"], 4)) for r in rows
+        f"null_pct_{r['column_name']}": rate(r["nulls"], r["total"]) for r in rows
     }
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..sources.tables import log_run, read_table, recent_runs, replace_table
@@ -28,30 +29,43 @@ class LoadJob:
 def run_load(spark: SparkSession, job: LoadJob, root: str, log_path: str) -> int:
     """Read, check, replace the table, log.
 
-    Checks come before the replacement, so a bad feed leaves the old table.  Any
+    The feed is read once: the counts that the checks and the null rates need are
+    taken while the new table is written, and a bad feed leaves the old table.  Any
     error is logged with its text and raised again.
     """
     started = time.monotonic()
     rows = 0
+
+    def log(status: str, note: str | None = None, metrics: dict | None = None) -> None:
+        took = time.monotonic() - started
+        log_run(spark, log_path, job.source, job.table, rows, status, note, metrics, took)
+
     try:
-        df = Q.ensure_non_empty(job.read(spark), job.context)
-        Q.ensure_required_columns(df, job.required, job.context)
-        Q.ensure_not_all_null(df, job.not_all_null, job.context)
-        path = f"{root}/{job.table}"
-        rows = replace_table(df, path)
-        metrics = {
-            "row_count": rows,
-            **(Q.summarize_null_rates(read_table(spark, path), job.null_rates) if job.null_rates else {}),
-        }
-        log_run(
-            spark, log_path, job.source, job.table, rows, "success",
-            metrics=metrics, duration_seconds=time.monotonic() - started,
+        df = Q.ensure_required_columns(job.read(spark), job.required, job.context)
+        counted = [c for c in {*job.not_all_null, *job.null_rates} if c in df.columns]
+
+        def accept(seen: dict) -> None:
+            if seen["rows"] == 0:
+                raise Q.CheckError(f"{job.context}: no rows returned")
+            empty = [c for c in job.not_all_null if c in counted and seen[f"known_{c}"] == 0]
+            if empty:
+                raise Q.CheckError(f"{job.context}: columns entirely null {empty}")
+
+        seen = replace_table(
+            df,
+            f"{root}/{job.table}",
+            {f"known_{c}": F.count(Q.known_value(df, c)) for c in counted},
+            accept,
         )
+        rows = seen["rows"]
+        rates = {
+            f"null_pct_{c}": Q.rate(rows - seen[f"known_{c}"], rows)
+            for c in job.null_rates
+            if c in counted
+        }
+        log("success", metrics={"row_count": rows, **rates})
     except Exception as error:
-        log_run(
-            spark, log_path, job.source, job.table, rows, "failed",
-            note=str(error), duration_seconds=time.monotonic() - started,
-        )
+        log("failed", note=str(error))
         raise
     return rows
 

@@ -1,6 +1,6 @@
 """Queries over the driver tables, each beside the SQL it must agree with."""
 
-from . import linking  # noqa: F401
+from . import columns, linking, places, timeline  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
