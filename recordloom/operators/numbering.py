@@ -100,6 +100,13 @@ def best_per(
     )
 
 
+def seen_range(df: DataFrame, keys: Sequence[str], timestamp: str) -> DataFrame:
+    """First and last time each key was seen."""
+    return df.groupBy(*keys).agg(
+        F.min(timestamp).alias("first_seen"), F.max(timestamp).alias("last_seen")
+    )
+
+
 def newest(df: DataFrame, timestamp: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(timestamp)).limit(max(1, int(n)))
 
