@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -47,10 +48,12 @@ def contains_text(q: str, columns: Sequence[Column | str]) -> Column:
 
 # --- text -------------------------------------------------------------------
 
+_SPACES = "".join(chr(p) for p in range(0x10000) if unicodedata.category(chr(p)) == "Zs")
+
 
 def trim_spaces(c: Column | str) -> Column:
     """Strip every Unicode space separator, not only U+0020; tabs and newlines stay."""
-    return F.regexp_replace(as_column(c), r"^\p{Zs}+|\p{Zs}+$", "")
+    return F.btrim(as_column(c), F.lit(_SPACES))
 
 
 def match_key(c: Column | str) -> Column:

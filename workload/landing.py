@@ -68,7 +68,7 @@ def export_flat(spark, sf_dir):
     )
     S.export_csv_flat(nested, path)
     schema = "order_key long, who_customer long, who_priority_name string, price double"
-    return R.read_delimited(spark, path, T._parse_datatype_string(schema), embedded_newlines=False)
+    return R.read_delimited(spark, path, T.StructType.fromDDL(schema), embedded_newlines=False)
 
 
 @query(
