@@ -51,12 +51,13 @@ def _settle(edges: DataFrame) -> tuple[DataFrame, tuple]:
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, component) for every node of the edges; a component is named by its least node.
 
-    Each round is a grouped minimum, which combines before the shuffle, and a join
-    with it.  Rounds are staged, so a lost executor repeats one round only.
+    Each step is a grouped minimum, which combines before the shuffle, and a join
+    with it.  Steps are staged: the next one reads their edges twice, and a lost
+    executor repeats one step only.
     """
     current, mark = _settle(_downward(edges.select(F.col(u).alias("u"), F.col(v).alias("v"))))
     while True:
-        larger = _downward(_large_star(current))
+        larger = stage(_downward(_large_star(current)), "edges")
         current, after = _settle(_downward(_small_star(larger)))
         if after == mark:
             break

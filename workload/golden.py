@@ -15,6 +15,7 @@ from recordloom.operators import quality as Q
 from recordloom.operators.numbering import seen_range as seen_by
 from recordloom.plans import models
 from recordloom.plans import presets as P
+from recordloom.session import stage
 from recordloom.sources.tables import flatten
 
 from .frames import KEYS_SQL, LINKS_SQL, SOURCES, table, with_feeds, with_links
@@ -84,7 +85,7 @@ def mapped(spark, sf_dir):
     left, right = seen_feeds(spark, sf_dir)
     links = models.linked(left, right)
     mapping = M.id_mapping(left, right, links, P.LEFT_ID, P.RIGHT_ID, SOURCES, RUN_TIME)
-    return left, right, mapping
+    return left, right, stage(mapping, "mapping")
 
 
 def identified(left, right, mapping):
@@ -286,14 +287,17 @@ def with_gold(body: str, *more: str) -> str:
 
 
 def gold_tables(spark, sf_dir):
-    """Mapping, identities, address rows, address dimension and first locations of one run."""
+    """Mapping, identities, address rows, address dimension and first locations of one run.
+
+    The core tables are staged, as a run would write them; several models read each.
+    """
     left, right, mapping = mapped(spark, sf_dir)
     staged = A.stage_addresses(
         {SOURCES.left: left, SOURCES.right: right},
         {SOURCES.left: P.LEFT_ID, SOURCES.right: P.RIGHT_ID},
         "seen_on",
     )
-    clustered = A.cluster_addresses(A.normalized(staged))
+    clustered = stage(A.cluster_addresses(stage(A.normalized(staged), "addresses")), "clustered")
     dim = A.address_dim(clustered, (SOURCES.left, SOURCES.right))
     members = A.address_members(clustered, dim)
     now = H.current_locations(mapping, members, P.LEFT_ID, P.RIGHT_ID, SOURCES)
