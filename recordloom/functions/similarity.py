@@ -75,8 +75,8 @@ def _jaro_winkler_block(
     at_b = (np.cumsum(counts_b) - counts_b)[groups]
     end_b = at_b + counts_b[groups]
     reach = window[groups // 256]
-    owner = groups // 256
-    hit_a, hit_b = np.zeros(a.shape, bool), np.zeros(b.shape, bool)
+    row_a, row_b = groups // 256 * a.shape[1], groups // 256 * b.shape[1]
+    hit_a, hit_b = np.zeros(a.size, bool), np.zeros(b.size, bool)
     positions_b = np.append(positions_b, 0)  # read, never used, past the last group
     active = len(groups) - np.searchsorted(sizes[::-1], np.arange(sizes.max(initial=0)), "right")
     for k, live in enumerate(active):
@@ -90,11 +90,12 @@ def _jaro_winkler_block(
                 (at[behind] < end[behind]) & (positions_b[at[behind]] < low[behind])
             ]
         j = positions_b[at]
-        hit = np.flatnonzero((at < end) & (j <= i + reach[:live]))
-        hit_a[owner[hit], i[hit]] = True
-        hit_b[owner[hit], j[hit]] = True
-        at[hit] += 1
+        hit = (at < end) & (j <= i + reach[:live])
+        hit_a[row_a[:live] + i] = hit
+        hit_b[(row_b[:live] + j)[hit]] = True
+        at += hit
 
+    hit_a, hit_b = hit_a.reshape(a.shape), hit_b.reshape(b.shape)
     matches = hit_a.sum(axis=1)
     # Both sides hold the same number of matched bytes per row, so the two
     # flattened runs line up.

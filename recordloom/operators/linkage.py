@@ -101,8 +101,13 @@ def similar_texts(
     a, b, keys = split_hot_keys(
         a, b, block, F.col("_text_a"), F.col("_text_b"), SCORED_CHUNK_ROWS
     )
-    # The work here is pairs, not bytes, so the partition count must not be coalesced.
-    parts = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The work here is pairs, not bytes: a fixed count keeps the partitions from being
+    # merged, and several per core even out chunks of unlike cost.
+    spark = a.sparkSession
+    parts = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        4 * spark.sparkContext.defaultParallelism,
+    )
     a, b = a.repartition(parts, *keys), b.repartition(parts, *keys)
     condition = could_exceed("a", "b", threshold)
     if ordered:
@@ -210,7 +215,10 @@ def scored_pairs(
     address: str = "address_hash",
     bands: Bands = Bands(),
 ) -> DataFrame:
-    """Pairs any band can use: (left_id, right_id, score, exact, same_place, same_address)."""
+    """Pairs any band can use: (left_id, right_id, score, exact, same_place, same_address).
+
+    Staged: tiers, flags and the queue all read them, and scoring is the costly part.
+    """
     flags = ("exact", "same_place", "same_address")
 
     def flagged(pairs: DataFrame, flag: str) -> DataFrame:
@@ -226,8 +234,11 @@ def scored_pairs(
         flagged(place, "same_place"),
         flagged(there, "same_address"),
     )
-    return found.groupBy(left_id, right_id).agg(
-        F.max("score").alias("score"), *[F.bool_or(f).alias(f) for f in flags]
+    return stage(
+        found.groupBy(left_id, right_id).agg(
+            F.max("score").alias("score"), *[F.bool_or(f).alias(f) for f in flags]
+        ),
+        "pairs",
     )
 
 

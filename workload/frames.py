@@ -24,7 +24,7 @@ FLAT = {
         "WHEN 6 THEN 'regional' WHEN 7 THEN 'contract' WHEN 8 THEN 'large' "
         "WHEN 9 THEN 'Micro' WHEN 10 THEN 'planning' END"
     ),
-    "address_1": "CASE WHEN line_no % 7 = 6 THEN NULL ELSE concat(CAST(doc_id % 500 AS STRING), ' Main Street') END",
+    "address_1": "CASE WHEN line_no % 7 = 6 THEN NULL ELSE concat(CAST(doc_id % 97 AS STRING), ' Main Street') END",
     "address_2": "CASE WHEN line_no % 5 = 4 THEN concat('Suite ', CAST(line_no AS STRING)) END",
     "address_3": "CASE WHEN line_no % 11 = 10 THEN '' END",
     "city": "first_word",
@@ -52,7 +52,7 @@ NESTED = {
     "Website": "CASE WHEN line_no % 3 <> 2 THEN concat('https://', source, '.example/m') END",
     "Membership_Record_Status__c": "CASE WHEN doc_id % 5 = 4 THEN 'Lapsed' ELSE 'Active' END",
     "Is_Craft_Brewery__c": "CASE WHEN line_no % 10 = 9 THEN NULL ELSE line_no % 10 <> 8 END",
-    "street": "concat(CAST(doc_id % 500 AS STRING), ' Main St')",
+    "street": "concat(CAST(doc_id % 97 AS STRING), ' Main St')",
     "city": "first_word",
     "state": "lang",
     "postalCode": FLAT["postal_code"],

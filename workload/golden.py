@@ -297,7 +297,7 @@ def gold_tables(spark, sf_dir):
         {SOURCES.left: P.LEFT_ID, SOURCES.right: P.RIGHT_ID},
         "seen_on",
     )
-    clustered = stage(A.cluster_addresses(stage(A.normalized(staged), "addresses")), "clustered")
+    clustered = stage(A.cluster_addresses(A.normalized(staged)), "clustered")
     dim = A.address_dim(clustered, (SOURCES.left, SOURCES.right))
     members = A.address_members(clustered, dim)
     now = H.current_locations(mapping, members, P.LEFT_ID, P.RIGHT_ID, SOURCES)

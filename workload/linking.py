@@ -196,14 +196,14 @@ def multi_match(spark, sf_dir):
     return L.multi_match(models.linked(*feeds(spark, sf_dir)), P.LEFT_ID, P.RIGHT_ID)
 
 
-# An address here is a street with house number and postal code, in short form.
+# An address here is a street with house number and its city, in short form.
 PAIRS_SQL = """
 ladr AS (
-  SELECT lkey.*, md5(replace(lower(lft.street_address), 'street', 'st') || '|' || postal_code) AS address_hash,
+  SELECT lkey.*, md5(replace(lower(lft.street_address), 'street', 'st') || '|' || lkey.city) AS address_hash,
          street_address, latitude, longitude, lft.name AS full_name
   FROM lkey JOIN lft USING (brewery_id)),
 radr AS (
-  SELECT rkey.*, md5(replace(lower(rgt.street_address), 'street', 'st') || '|' || postal_code) AS address_hash,
+  SELECT rkey.*, md5(replace(lower(rgt.street_address), 'street', 'st') || '|' || rkey.city) AS address_hash,
          street_address, latitude, longitude, rgt.name AS full_name
   FROM rkey JOIN rgt USING (partner_brewery_id)),
 found AS (
@@ -252,7 +252,9 @@ def _addressed(spark, sf_dir):
             df.select(
                 own_id,
                 *[C.match_key(k).alias(k) for k in P.MATCH_KEYS],
-                address_hash(normalize_address("street_address"), "postal_code").alias("address_hash"),
+                address_hash(
+                    normalize_address("street_address"), C.match_key("city")
+                ).alias("address_hash"),
                 "street_address",
                 "latitude",
                 "longitude",
