@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,8 +37,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     The cluster's ``spark.checkpoint.dir`` wins, then a folder the application
-    set on the context.  Only a local master may fall back to a temporary
-    folder: on a cluster that folder would be lost with its machine.
+    set on the context.  Only a master of one process (``local``, ``local[8]``; not
+    ``local-cluster``) may fall back to a temporary folder, made once per
+    application: on a cluster that folder would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -46,11 +48,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     chosen = context._jsc.sc().getCheckpointDir()
     if chosen.isDefined():
         return chosen.get().rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_roots.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="recordloom-")
-    )
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="recordloom-")
+    return _local_roots[context.applicationId]
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
