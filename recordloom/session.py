@@ -55,6 +55,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A fresh path under the checkpoint root, which ``drop_staged`` deletes."""
+    path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once under the checkpoint root and read it back.
 
@@ -63,9 +70,8 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     columns and know the real size, so join choices rest on facts.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
