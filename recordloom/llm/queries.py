@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from ..session import new_path
+from . import dac, hilbert, mixing, simhash
 from .common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -28,3 +29,27 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    sharded = hilbert.curve_shards(
+        rows, texts=["source", "lang"], numbers=["size"], ties=["doc_id", "size", "text_crc32"], shards=16
+    )
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op9_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    dac.write_tokens(table(spark, sf_dir, "documents"), path)
+    return dac.read_digests(spark, path)
