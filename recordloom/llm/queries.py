@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import dac, hilbert, mixing, simhash
+from . import dac, hilbert, line_rules, mixing, simhash
 from .common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -31,6 +31,12 @@ def op2_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query(line_rules.RULES_SQL)
+def op3_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_rules.judged(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return judged.select("doc_id", "rules.*").drop("removed_words")
+
+
 @query()
 def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
