@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import dac, hilbert, line_rules, mixing, simhash
+from . import dac, decontaminate, hilbert, line_rules, mixing, simhash
 from .common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -37,6 +37,12 @@ def op3_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "rules.*").drop("removed_words")
 
 
+@query()
+def op6_spaced_seed_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that share a verified overlap."""
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
