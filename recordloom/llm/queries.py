@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import dac, decontaminate, hilbert, line_rules, mixing, simhash
+from . import dac, decontaminate, hilbert, line_rules, mil, mixing, simhash
 from .common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -60,6 +60,13 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = mil.fit(docs, table(spark, sf_dir, "labels"))
+    return mil.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 @query()
 def op9_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
