@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import dac, decontaminate, hilbert, line_rules, mil, mixing, simhash
+from . import dac, decontaminate, hilbert, language_model, line_rules, mil, mixing, simhash
 from .common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -72,3 +72,11 @@ def op9_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     dac.write_tokens(table(spark, sf_dir, "documents"), path)
     return dac.read_digests(spark, path)
+
+
+@query()
+def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = language_model.score_texts(table(spark, sf_dir, "documents"))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
