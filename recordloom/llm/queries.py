@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import dac, decontaminate, hilbert, language_model, line_rules, mil, mixing, repeats, simhash
+from . import dac, decontaminate, hilbert, language_model, line_rules, mil, mixing, private_data, repeats, simhash
 from .common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -37,6 +37,11 @@ def op3_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "rules.*").drop("removed_words")
 
 
+@query()
+def op4_contextual_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.digest(private_data.personal_data(table(spark, sf_dir, "documents")))
+
+
 @query()
 def op5_de_bruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), window=20)
