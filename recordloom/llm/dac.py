@@ -41,7 +41,7 @@ MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT = 1 << 18  # tokens
 END = 0  # id after each document
-#: Pieces whose ids a worker remembers, some 60 MB; beyond it the memory starts afresh.
+#: Pieces whose ids a task remembers, some 60 MB; beyond it the memory starts afresh.
 KNOWN_PIECES = 1_500_000
 SLICE = 32 << 20  # bytes of text that are encoded together
 GROUP = 256  # new pieces that go to the tokenizer in one string
@@ -124,7 +124,6 @@ class Codes:
 
 # -- tokenizer -----------------------------------------------------------------------
 
-_encoders: dict[str | None, Encoder] = {}  # of a Python worker
 # A single space before anything but white space begins a piece whatever stands before it,
 # so texts can be cut there and every distinct piece encoded once.
 _AWKWARD = r" (?:[\x09-\x0d\x1c-\x20\x85]|\p{Z}|\z)"
@@ -237,19 +236,16 @@ class Encoder:
                     result[row] = part
         return result
 
-
-def encode_texts(texts: pa.Array, path: str | None = None) -> Iterator[np.ndarray]:
-    """Ids of each text, worked off in slices of ``SLICE`` bytes or one longer text."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    texts = pc.fill_null(texts.cast(pa.string()), "")
-    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-    lo = 0
-    while lo < len(texts):
-        done = size[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(size, done + SLICE, "right")))
-        yield from _encoders[path].encode(texts.slice(lo, hi - lo))
-        lo = hi
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text (null: none), worked off in slices of ``SLICE`` bytes or one longer text."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < len(texts):
+            done = size[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(size, done + SLICE, "right")))
+            yield from self.encode(texts.slice(lo, hi - lo))
+            lo = hi
 
 
 # -- token file ----------------------------------------------------------------------
@@ -264,6 +260,7 @@ def _write(path: str | None, segment: int):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(path)
         first, held, ids, size = 0, [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -274,7 +271,7 @@ def _write(path: str | None, segment: int):
             )
 
         for batch in batches:
-            for doc_id, tokens in zip(batch.column(0).to_pylist(), encode_texts(batch.column(1), path)):
+            for doc_id, tokens in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
                 if size and size + len(tokens) + 1 > segment:
                     yield row()
                     first, held, ids, size = first + size, [], [], 0

@@ -148,10 +148,11 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
     """The benchmark's seed tables, one bounded block after the other."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    # About six characters to a token; equal texts share a block.
+    # About six characters to a token; items of equal tokens share a block.
     count = -(-size // (6 * block_tokens))
     for number in range(count):
-        part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(count)) == number) if count > 1 else rows
+        plain = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{M}\p{N}_]+", " "))
+        part = rows.filter(F.pmod(F.xxhash64(plain), F.lit(count)) == number) if count > 1 else rows
         yield Block.of([tuple(r) for r in part.collect()])
 
 

@@ -125,7 +125,7 @@ _RULE_TYPES = pa.struct(
 )
 
 
-def _judge(least_left: float, carried: int, text_at: int | None):
+def _judge(least_left: float, carried: int, text_at: int | None, name: str):
     """Rows are the carried columns, then the text and the host's shared lines."""
 
     def judge(data: bytes, shared: frozenset[int]) -> tuple[dict, bytes]:
@@ -153,7 +153,7 @@ def _judge(least_left: float, carried: int, text_at: int | None):
             if text_at is not None:
                 arrays[text_at] = pa.array(left, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(rules, _RULE_TYPES)], names=[*batch.schema.names[:carried], "rules"]
+                [*arrays, pa.array(rules, _RULE_TYPES)], names=[*batch.schema.names[:carried], name]
             )
 
     return run
@@ -175,7 +175,7 @@ def judged(
     rows = met.select(*carry, F.col(text_col).alias(text), lines)
     fields = docs.select(*carry).schema.add(name, StructType.fromDDL(RULES))
     text_at = carry.index(text_col) if text_col in carry else None
-    return rows.mapInArrow(_judge(least_left, len(carry), text_at), fields)
+    return rows.mapInArrow(_judge(least_left, len(carry), text_at, name), fields)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
