@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -14,8 +14,7 @@ from .merge import Sources
 from .numbering import Page, page as one_page, rank_within, succession_order, top
 from .shape import nest, stack, text_search
 
-# Entries in one nested array.  A longer list continues in further parts, so that no
-# row holds an unbounded group; nearly every document has the single part 0.
+# Default of ``part_entries``, see ``_documents``.
 PART_ENTRIES = 10_000
 
 
@@ -99,51 +98,94 @@ def location_history(locations: DataFrame, addresses: DataFrame, identities: Dat
     return locations.join(place, "address_id").join(names, "gold_id")
 
 
-def _documents(
-    ranked: DataFrame, key: str, rank: str, array: str, count: str, fields: dict[str, object]
-) -> DataFrame:
-    """One row per key and part with the ranked entries as an array, and the key's total."""
-    part = F.floor((F.col(rank) - 1) / PART_ENTRIES)
-    parts = ranked.groupBy(key, part.alias("part")).agg(
-        C.ordered_structs([rank], fields).alias(array)
-    )
-    totals = ranked.groupBy(key).agg(F.count(F.lit(1)).alias(count))
-    return parts.join(totals, key)
+def by_address_and_start(rows: DataFrame) -> DataFrame:
+    """The location history in its published order."""
+    return rows.orderBy("address_id", "valid_from", "gold_id")
 
 
-def history_documents(rows: DataFrame) -> DataFrame:
-    """(gold_id, part, locations, location_count) from ``location_history``."""
-    ranked = rank_within(rows, ["gold_id"], ["valid_from", "address_id"], "_rank")
-    address = F.struct(
+def _address_block() -> Column:
+    return F.struct(
         F.col("street_address").alias("street"),
         "city",
         F.col("state_province").alias("state"),
         "postal_code",
         "country",
     )
+
+
+def _documents(
+    ranked: DataFrame,
+    keys: Sequence[str],
+    rank: str,
+    array: str,
+    count: str,
+    fields: dict[str, object],
+    part_entries: int,
+) -> DataFrame:
+    """One row per key and ``part`` with the ranked entries as an array, and the key's total.
+
+    The ranked rows are the published data; this is a nested view of them.  A part
+    holds ranks ``part * part_entries + 1`` to ``(part + 1) * part_entries``, so that
+    no row holds an unbounded group, and ``part`` always belongs to the key.
+    """
+    part = F.floor((F.col(rank) - 1) / part_entries)
+    parts = ranked.groupBy(*keys, part.alias("part")).agg(
+        C.ordered_structs([rank], fields).alias(array)
+    )
+    totals = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+    return parts.join(totals, list(keys))
+
+
+def ranked_history(rows: DataFrame) -> DataFrame:
+    """``location_history`` with ``location_order`` from 1 along each entity's time."""
+    return rank_within(rows, ["gold_id"], ["valid_from", "address_id"], "location_order")
+
+
+def history_documents(rows: DataFrame, part_entries: int = PART_ENTRIES) -> DataFrame:
+    """(gold_id, name, part, locations, location_count) from ``location_history``."""
+    named = rows.withColumn("name", F.coalesce("name", F.lit("")))
     fields = {
-        "address": address,
+        "address": _address_block(),
         "location": F.struct("latitude", "longitude"),
         "valid_from": "valid_from",
         "valid_to": "valid_to",
         "is_current": "is_current",
         "source_system": "source_system",
     }
-    return _documents(ranked, "gold_id", "_rank", "locations", "location_count", fields)
+    return _documents(
+        ranked_history(named), ["gold_id", "name"], "location_order", "locations", "location_count", fields, part_entries
+    )
 
 
 def succession(rows: DataFrame) -> DataFrame:
-    """Entities per address in order of arrival, with ``succession_order`` from 1."""
+    """Entities per address in order of arrival, with ``succession_order`` from 1.
+
+    The long form: one row per address and entity, with the address itself.
+    """
     return succession_order(
-        rows.select("address_id", "gold_id", "name", "valid_from", "valid_to", "is_current"),
+        rows.select(
+            "address_id",
+            "gold_id",
+            "name",
+            "valid_from",
+            "valid_to",
+            "is_current",
+            "street_address",
+            "city",
+            "state_province",
+            "postal_code",
+            "country",
+            "latitude",
+            "longitude",
+        ),
         "address_id",
         "valid_from",
         "gold_id",
     )
 
 
-def succession_documents(ordered: DataFrame) -> DataFrame:
-    """(address_id, part, entities, entity_count, public_id) from ``succession``."""
+def succession_documents(ordered: DataFrame, part_entries: int = PART_ENTRIES) -> DataFrame:
+    """(address_id, address, part, entities, entity_count, public_id) from ``succession``."""
     fields = {
         "id": "gold_id",
         "name": "name",
@@ -153,9 +195,16 @@ def succession_documents(ordered: DataFrame) -> DataFrame:
         "succession_order": "succession_order",
     }
     documents = _documents(
-        ordered, "address_id", "succession_order", "entities", "entity_count", fields
+        ordered, ["address_id"], "succession_order", "entities", "entity_count", fields, part_entries
+    )
+    first = ordered.filter("succession_order = 1").select(
+        "address_id",
+        _address_block().alias("address"),
+        F.struct("latitude", "longitude").alias("coordinates"),
+    )
+    return documents.join(first, "address_id").withColumn(
+        "public_id", F.concat(F.lit("addr_"), F.col("address_id"))
     )
-    return documents.withColumn("public_id", F.concat(F.lit("addr_"), F.col("address_id")))
 
 
 def search(
@@ -184,15 +233,15 @@ def more_than_one(
 
 
 def _joined_in_order(
-    ranked: DataFrame, keys: Sequence[str], rank: str, value, name: str, sep: str
+    ranked: DataFrame, keys: Sequence[str], rank: str, value, name: str, sep: str, part_entries: int
 ) -> DataFrame:
-    part = F.floor((F.col(rank) - 1) / PART_ENTRIES)
+    part = F.floor((F.col(rank) - 1) / part_entries)
     return ranked.groupBy(*keys, part.alias("part")).agg(
         C.ordered_concat(value, [rank], sep).alias(name)
     )
 
 
-def relocations(rows: DataFrame, sep: str = " → ") -> DataFrame:
+def relocations(rows: DataFrame, sep: str = " → ", part_entries: int = PART_ENTRIES) -> DataFrame:
     """Entities seen at several addresses, with their places in order of time."""
     keys = ["gold_id", "name"]
     moved = more_than_one(rows, keys, "address_id", "location_count")
@@ -203,18 +252,30 @@ def relocations(rows: DataFrame, sep: str = " → ") -> DataFrame:
         "_rank",
     )
     place = C.concat_strict("city", F.lit(", "), "state_province")
-    return _joined_in_order(ranked, keys, "_rank", place, "location_history", sep).join(
+    return _joined_in_order(ranked, keys, "_rank", place, "location_history", sep, part_entries).join(
         moved, keys
     )
 
 
-def reuse(ordered: DataFrame, sep: str = " → ") -> DataFrame:
-    """Addresses with several entities over time, with their names in order."""
+def reuse(ordered: DataFrame, sep: str = " → ", part_entries: int = PART_ENTRIES) -> DataFrame:
+    """Addresses with several entities over time, with their place and the names in order."""
     several = more_than_one(ordered, ["address_id"], "gold_id", "entity_count")
     kept = ordered.join(several.select("address_id"), "address_id", "left_semi")
-    return _joined_in_order(
-        kept, ["address_id"], "succession_order", "name", "entity_succession", sep
-    ).join(several, "address_id")
+    place = ["street_address", "city", "state_province"]
+    first = ordered.filter("succession_order = 1").select("address_id", *place)
+    return (
+        _joined_in_order(
+            kept, ["address_id"], "succession_order", "name", "entity_succession", sep, part_entries
+        )
+        .join(several, "address_id")
+        .join(first, "address_id")
+        .select("address_id", *place, "part", "entity_succession", "entity_count")
+    )
+
+
+def by_use(reused: DataFrame) -> DataFrame:
+    """``reuse`` in its published order: most entities first."""
+    return reused.orderBy(F.desc("entity_count"), "address_id", "part")
 
 
 def provenance(flat: DataFrame, source: str) -> DataFrame:

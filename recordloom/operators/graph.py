@@ -8,9 +8,6 @@ the logarithm of the node count, not with the length of a chain.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -65,30 +62,3 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     members = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return members.union(roots)
-
-
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        parent: dict[str, str] = {}
-
-        def root(node: str) -> str:
-            while (above := parent.setdefault(node, node)) != node:
-                parent[node] = parent[above]
-                node = above
-            return node
-
-        kept = []
-        for at, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            ra, rb = root(a), root(b)
-            if ra != rb:
-                parent[rb] = ra
-                kept.append(at)
-        yield batch.take(pa.array(kept, pa.int64()))
-
-
-def spanning_edges(edges: DataFrame) -> DataFrame:
-    """Drop edges that close a cycle within their batch; connectivity stays the same.
-
-    Dense groups have many more edges than nodes; this thins them before any shuffle.
-    """
-    return edges.mapInArrow(_forest, edges.schema)

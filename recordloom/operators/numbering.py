@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import as_column
 from ..session import stage
@@ -14,8 +17,6 @@ from ..session import stage
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these
 
 MAX_PER_PAGE = 100
-# Up to this many leading rows every task can keep a running top list.
-SHALLOW_ROWS = 10_000
 
 
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_number") -> DataFrame:
@@ -47,21 +48,83 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_n
     )
 
 
+def _ranked_runs(keys: int):
+    """Number the rows of every run of equal keys in a sorted partition, batch after batch.
+
+    The first ``keys`` columns are the keys.  Adds the rank in the run and whether the
+    run is the partition's first.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, rank, first = None, 0, True
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            starts = np.zeros(n, bool)
+            for column in batch.columns[:keys]:
+                codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
+                starts[1:] |= codes[1:] != codes[:-1]
+            head = [c[0].as_py() for c in batch.columns[:keys]]
+            starts[0] = head != last
+            at = np.arange(n)
+            begun = np.maximum.accumulate(np.where(starts, at, -1))
+            ranks = np.where(begun >= 0, at - begun + 1, rank + at + 1)
+            if last is not None and starts[0]:
+                first = False
+            seen = np.cumsum(starts) - int(starts[0])
+            in_first = (seen == 0) & first
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ranks, pa.int64()), pa.array(in_first)],
+                names=[*batch.schema.names, "_rank_in_run", "_first_run"],
+            )
+            last, rank = [c[n - 1].as_py() for c in batch.columns[:keys]], int(ranks[-1])
+            first = bool(in_first[-1])
+
+    return run
+
+
 def rank_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str
 ) -> DataFrame:
     """``row_number`` per group of ``keys``; a group may span many tasks.
 
-    Global numbers in (keys, order) make every group a run, so the rank is the
-    number less the run's first.
+    Rows are range-partitioned and sorted by (keys, order), so a group is a run, and
+    each partition numbers its runs on its own.  Only the run that comes over from
+    earlier partitions needs their row count: one row per partition, which bounds the
+    windows and the broadcast.  No row is shuffled by its group.
     """
-    numbered = number_rows(df, [*keys, *order], "_number")
-    starts = numbered.groupBy(*keys).agg(F.min("_number").alias("_first"))
-    return (
-        numbered.join(starts, list(keys))
-        .withColumn(name, F.col("_number") - F.col("_first") + 1)
-        .drop("_number", "_first")
+    keys, columns = list(keys), df.columns
+    by = [*[F.col(k) for k in keys], *[as_column(o) for o in order]]
+    rest = [c for c in columns if c not in keys]
+    sorted_rows = df.repartitionByRange(*by).sortWithinPartitions(*by).select(*keys, *rest)
+    schema = T.StructType(
+        [*sorted_rows.schema, T.StructField("_rank_in_run", T.LongType()), T.StructField("_first_run", T.BooleanType())]
+    )
+    placed = stage(
+        sorted_rows.mapInArrow(_ranked_runs(len(keys)), schema).withColumn(
+            "_place", F.monotonically_increasing_id()
+        ),
+        "ranked",
+    ).withColumn("_part", F.shiftright("_place", _POSITION_BITS))
+    group = F.struct(*keys)
+    ends = placed.groupBy("_part").agg(
+        F.min_by(group, "_place").alias("_first"),
+        F.max_by(group, "_place").alias("_last"),
+        F.max_by("_rank_in_run", "_place").alias("_rows"),
+    )
+    # A group that reaches a partition from earlier ones is the last run of each of those.
+    ending = ends.select(F.col("_last").alias("_group"), "_part", "_rows", F.lit(True).alias("_ends"))
+    beginning = ends.select(F.col("_first").alias("_group"), "_part", F.lit(0).alias("_rows"), F.lit(False).alias("_ends"))
+    before = Window.partitionBy("_group").orderBy("_part").rangeBetween(Window.unboundedPreceding, -1)
+    carried = (
+        ending.unionByName(beginning)
+        .withColumn("_carried", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .filter(~F.col("_ends"))
+        .select("_part", "_carried")
     )
+    rank = F.col("_rank_in_run") + F.when(F.col("_first_run"), F.col("_carried")).otherwise(F.lit(0))
+    return placed.join(F.broadcast(carried), "_part").select(*columns, rank.alias(name))
 
 
 def succession_order(df: DataFrame, key: str, start: str, tie: str) -> DataFrame:
@@ -124,23 +187,17 @@ class Page:
 def page(df: DataFrame, key: str, page: int = 1, per_page: int = 50) -> Page:
     """One page in order of a unique key; past the end it is empty.
 
-    Early pages are a top-n.  For deep ones that would drag every earlier row to one
-    task, so the rows are numbered and the page is a range of numbers.
+    Only the keys are numbered, wherever the page lies; the page's keys, at most
+    ``MAX_PER_PAGE``, then pick their rows.
     """
     if not 1 <= per_page <= MAX_PER_PAGE:
         raise ValueError(f"per_page must be between 1 and {MAX_PER_PAGE}")
     if page < 1:
         raise ValueError("page must be at least 1")
     skip = (page - 1) * per_page
-    if skip + per_page <= SHALLOW_ROWS:
-        rows = df.orderBy(key).offset(skip).limit(per_page)
-    else:
-        numbered = number_rows(df, [key], "_number")
-        rows = (
-            numbered.filter(F.col("_number").between(skip + 1, skip + per_page))
-            .orderBy(key)
-            .drop("_number")
-        )
+    numbered = number_rows(df.select(F.col(key).alias("_key")), ["_key"], "_number")
+    wanted = numbered.filter(F.col("_number").between(skip + 1, skip + per_page)).select("_key")
+    rows = df.join(F.broadcast(wanted), df[key].eqNullSafe(wanted["_key"])).drop("_key").orderBy(key)
     total = F.count(F.lit(1))
     totals = df.agg(
         F.lit(page).alias("page"),

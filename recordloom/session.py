@@ -22,6 +22,8 @@ def local_session(cores: str = "*", app: str = "recordloom", **conf: str) -> Spa
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.driver.memory": "16g",
+        # Small splits, so that every core has a share of a small table.
+        "spark.sql.files.maxPartitionBytes": "4m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }

@@ -74,15 +74,20 @@ def test_intervals_take_one_row_per_day_and_close_before_gaps(spark):
     ]
 
 
-def test_documents_continue_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(G, "PART_ENTRIES", 3)
+def test_documents_continue_in_parts(spark):
     history = spark.createDataFrame(
-        [(7, f"e{i}", f"n{i}", D(2024, 1, i + 1), None, True) for i in range(8)],
-        "address_id int, gold_id string, name string, valid_from date, valid_to date, is_current boolean",
+        [(7, f"e{i}", f"n{i}", D(2024, 1, i + 1), None, True, "1 Main", "Town", "S", "01234", "X", 1.5, 2.5) for i in range(8)],
+        "address_id int, gold_id string, name string, valid_from date, valid_to date, is_current boolean, "
+        "street_address string, city string, state_province string, postal_code string, country string, "
+        "latitude double, longitude double",
     )
-    parts = sorted(G.succession_documents(G.succession(history)).collect(), key=lambda r: r.part)
+    ordered = G.succession(history)
+    parts = sorted(G.succession_documents(ordered, 3).collect(), key=lambda r: r.part)
     assert [len(p.entities) for p in parts] == [3, 3, 2]
     assert [e.succession_order for p in parts for e in p.entities] == list(range(1, 9))
     assert {p.entity_count for p in parts} == {8} and parts[0].public_id == "addr_7"
-    joined = sorted(G.reuse(G.succession(history)).collect(), key=lambda r: r.part)
+    assert parts[1].address == ("1 Main", "Town", "S", "01234", "X") and parts[1].coordinates == (1.5, 2.5)
+    joined = G.by_use(G.reuse(ordered, part_entries=3)).collect()
     assert [r.entity_succession for r in joined] == ["n0 → n1 → n2", "n3 → n4 → n5", "n6 → n7"]
+    assert {(r.street_address, r.city, r.state_province) for r in joined} == {("1 Main", "Town", "S")}
+    assert len(G.succession_documents(ordered).collect()) == 1

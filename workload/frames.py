@@ -67,17 +67,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table that comes as fewer splits than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     return (
-        spread(documents)
-        .select("doc_id", "source", "lang", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        documents.select("doc_id", "source", "lang", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .filter(F.trim("line") != "")
         .withColumn("line_no", F.col("line_no").cast("bigint"))
         .withColumn("first_word", F.substring_index(F.trim("line"), " ", 1))

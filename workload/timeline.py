@@ -146,117 +146,182 @@ def location_history(spark, sf_dir):
     )
 
 
+# Small parts, so that documents of more than one part are compared.
+HISTORY_PART, SUCCESSION_PART, RELOCATION_PART, REUSE_PART = 3, 50, 2, 40
+
+DASH = "-"
+
+
+def _entry(*values):
+    """One text of all fields of a nested entry."""
+    return F.concat_ws("|", *[F.coalesce(v.cast("string"), F.lit(DASH)) for v in values])
+
+
+def _texts(array: str, *paths: str):
+    def text(x):
+        fields = []
+        for path in paths:
+            value = x
+            for name in path.split("."):
+                value = value[name]
+            fields.append(F.coalesce(value.cast("string"), F.lit(DASH)))
+        return F.concat_ws("|", *fields)
+
+    return F.array_join(F.transform(array, text), ",")
+
+
+ORDERED_SQL = """
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY gold_id ORDER BY valid_from, address_id) AS location_order,
+         count(*) OVER (PARTITION BY gold_id) AS location_count
+  FROM history)"""
+
+
 @query(
     with_history(
-        """SELECT gold_id, 0 AS part, count(*) AS location_count,
-       string_agg(city || ':' || valid_from || ':' || is_current, ',' ORDER BY valid_from) AS locations
-FROM history GROUP BY gold_id"""
+        f"""SELECT gold_id, name, CAST((location_order - 1) // {HISTORY_PART} AS INTEGER) AS part,
+       any_value(location_count) AS location_count,
+       string_agg(concat_ws('|', street_address, city, state_province, '-', '-', '-', '-', valid_from,
+                            coalesce(CAST(valid_to AS VARCHAR), '-'), is_current, 'first'), ',' ORDER BY location_order) AS locations
+FROM ordered GROUP BY gold_id, name, (location_order - 1) // {HISTORY_PART}""",
+        ORDERED_SQL,
     )
 )
 def history_documents(spark, sf_dir):
-    documents = G.history_documents(history_rows(spark, sf_dir))
-    text = F.transform(
-        "locations",
-        lambda x: F.concat_ws(":", x["address"]["city"], x["valid_from"], x["is_current"].cast("string")),
-    )
+    documents = G.history_documents(history_rows(spark, sf_dir), HISTORY_PART)
+    address = [f"address.{f}" for f in ("street", "city", "state", "postal_code", "country")]
+    rest = ["location.latitude", "location.longitude", "valid_from", "valid_to", "is_current", "source_system"]
     return documents.select(
         "gold_id",
+        "name",
         F.col("part").cast("int").alias("part"),
         "location_count",
-        F.array_join(text, ",").alias("locations"),
+        _texts("locations", *address, *rest).alias("locations"),
+    )
+
+
+@query(with_history("SELECT gold_id, name, address_id, valid_from, location_order FROM ordered", ORDERED_SQL))
+def history_order(spark, sf_dir):
+    return G.ranked_history(history_rows(spark, sf_dir)).select(
+        "gold_id", "name", "address_id", "valid_from", "location_order"
     )
 
 
 SUCCESSION_SQL = """
 succession AS (
-  SELECT address_id, gold_id, name, valid_from, valid_to, is_current,
+  SELECT address_id, gold_id, name, valid_from, valid_to, is_current, street_address, city, state_province,
          row_number() OVER (PARTITION BY address_id ORDER BY valid_from, gold_id) AS succession_order
   FROM history)"""
 
 
 @query(with_history("SELECT * FROM succession", SUCCESSION_SQL))
 def succession(spark, sf_dir):
-    return G.succession(history_rows(spark, sf_dir))
+    return G.succession(history_rows(spark, sf_dir)).drop("postal_code", "country", "latitude", "longitude")
 
 
 @query(
     with_history(
-        """SELECT address_id, 'addr_' || address_id AS public_id,
-       CAST((succession_order - 1) // 10000 AS INTEGER) AS part,
+        f"""SELECT address_id, 'addr_' || address_id AS public_id,
+       concat_ws('|', any_value(street_address), any_value(city), any_value(state_province), '-', '-', '-', '-') AS address,
+       CAST((succession_order - 1) // {SUCCESSION_PART} AS INTEGER) AS part,
        any_value(entity_count) AS entity_count,
-       string_agg(gold_id || ':' || valid_from || ':' || succession_order, ',' ORDER BY succession_order) AS entities
+       string_agg(concat_ws('|', gold_id, name, valid_from, coalesce(CAST(valid_to AS VARCHAR), '-'), is_current,
+                            succession_order), ',' ORDER BY succession_order) AS entities
 FROM succession JOIN (SELECT address_id, count(*) AS entity_count FROM succession GROUP BY 1) USING (address_id)
-GROUP BY address_id, (succession_order - 1) // 10000""",
+GROUP BY address_id, (succession_order - 1) // {SUCCESSION_PART}""",
         SUCCESSION_SQL,
     )
 )
 def succession_documents(spark, sf_dir):
-    documents = G.succession_documents(G.succession(history_rows(spark, sf_dir)))
-    text = F.transform(
-        "entities", lambda x: F.concat_ws(":", x["id"], x["valid_from"], x["succession_order"])
-    )
+    documents = G.succession_documents(G.succession(history_rows(spark, sf_dir)), SUCCESSION_PART)
+    place = [F.col(f"address.{f}") for f in ("street", "city", "state", "postal_code", "country")]
     return documents.select(
         "address_id",
         "public_id",
+        _entry(*place, F.col("coordinates.latitude"), F.col("coordinates.longitude")).alias("address"),
         F.col("part").cast("int").alias("part"),
         "entity_count",
-        F.array_join(text, ",").alias("entities"),
+        _texts("entities", "id", "name", "valid_from", "valid_to", "is_current", "succession_order").alias("entities"),
     )
 
 
 @query(
     with_history(
-        """SELECT gold_id, name, 0 AS part, count(DISTINCT address_id) AS location_count,
-       string_agg(city || ', ' || state_province, ' → ' ORDER BY valid_from) AS location_history
-FROM history GROUP BY gold_id, name HAVING count(DISTINCT address_id) > 1"""
+        f"""SELECT gold_id, name, CAST((location_order - 1) // {RELOCATION_PART} AS INTEGER) AS part,
+       any_value(location_count) AS location_count,
+       string_agg(city || ', ' || state_province, ' → ' ORDER BY location_order) AS location_history
+FROM (SELECT * EXCLUDE (location_count) FROM ordered)
+JOIN (SELECT gold_id, count(DISTINCT address_id) AS location_count FROM history GROUP BY gold_id) USING (gold_id)
+WHERE location_count > 1 GROUP BY gold_id, name, (location_order - 1) // {RELOCATION_PART}""",
+        ORDERED_SQL,
     )
 )
 def relocations(spark, sf_dir):
-    moved = G.relocations(history_rows(spark, sf_dir))
+    moved = G.relocations(history_rows(spark, sf_dir), part_entries=RELOCATION_PART)
     return moved.withColumn("part", F.col("part").cast("int"))
 
 
 @query(
     with_history(
-        """SELECT address_id, CAST((succession_order - 1) // 10000 AS INTEGER) AS part,
-       any_value(n) AS entity_count,
+        f"""SELECT address_id, any_value(street_address) AS street_address, any_value(city) AS city,
+       any_value(state_province) AS state_province,
+       CAST((succession_order - 1) // {REUSE_PART} AS INTEGER) AS part, any_value(n) AS entity_count,
        string_agg(name, ' → ' ORDER BY succession_order) AS entity_succession
 FROM succession JOIN (SELECT address_id, count(DISTINCT gold_id) AS n FROM succession GROUP BY 1) USING (address_id)
-WHERE n > 1 GROUP BY address_id, (succession_order - 1) // 10000""",
+WHERE n > 1 GROUP BY address_id, (succession_order - 1) // {REUSE_PART}""",
         SUCCESSION_SQL,
     )
 )
 def address_reuse(spark, sf_dir):
-    reused = G.reuse(G.succession(history_rows(spark, sf_dir)))
+    reused = G.by_use(G.reuse(G.succession(history_rows(spark, sf_dir)), part_entries=REUSE_PART))
     return reused.withColumn("part", F.col("part").cast("int"))
 
 
-# Two snapshots: where users were seen last by the 12th, and in the ten days after it.
-# A user last seen with an error is nowhere.
-FIRST_DAY, SECOND_DAY = dt.date(2024, 1, 12), dt.date(2024, 1, 22)
-SCD2_SQL = """
+# Three snapshots: where users were seen last by the 12th, in the ten days after it, and in the
+# rest of the events.  A user last seen with an error is nowhere, and may come back.
+FIRST_DAY, SECOND_DAY, THIRD_DAY = dt.date(2024, 1, 12), dt.date(2024, 1, 22), dt.date(2024, 2, 1)
+
+
+def _applied_sql(before: str, period: int, day: dt.date, name: str) -> str:
+    """The state after a snapshot: what it confirms, closes and opens."""
+    return f"""
+seen_{name} AS (
+  SELECT b.*, s.address_id AS now FROM {before} b
+  LEFT JOIN (SELECT gold_id, address_id FROM snap WHERE period = {period}) s USING (gold_id)),
+{name} AS (
+  SELECT location_id, gold_id, address_id, valid_from,
+         CASE WHEN is_current AND now IS DISTINCT FROM address_id THEN DATE '{day}' - 1 ELSE valid_to END AS valid_to,
+         is_current AND now IS NOT DISTINCT FROM address_id AS is_current, source_system, match_confidence
+  FROM seen_{name}
+  UNION ALL
+  SELECT (SELECT max(location_id) FROM {before}) + row_number() OVER (ORDER BY gold_id), gold_id, address_id,
+         DATE '{day}', NULL, true, 'first', 1.0
+  FROM snap WHERE period = {period}
+   AND NOT EXISTS (FROM {before} b WHERE b.is_current AND b.gold_id = snap.gold_id AND b.address_id = snap.address_id))"""
+
+
+SCD2_SQL = f"""
 snap AS (
   SELECT period, 'u' || user_id AS gold_id, ascii(event_type) AS address_id FROM (
     SELECT *, row_number() OVER (PARTITION BY period, user_id ORDER BY ts DESC, event_id DESC) AS rn
-    FROM (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-12 00:00:00' THEN 1
-                         WHEN ts < TIMESTAMP '2024-01-22 00:00:00' THEN 2 END AS period FROM events)
-    WHERE period IS NOT NULL) WHERE rn = 1 AND event_type <> 'error'),
+    FROM (SELECT *, CASE WHEN ts < TIMESTAMP '{FIRST_DAY}' THEN 1
+                         WHEN ts < TIMESTAMP '{SECOND_DAY}' THEN 2 ELSE 3 END AS period FROM events))
+  WHERE rn = 1 AND event_type <> 'error'),
 opened AS (
   SELECT row_number() OVER (ORDER BY gold_id) AS location_id, gold_id, address_id,
-         DATE '2024-01-12' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current,
+         DATE '{FIRST_DAY}' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current,
          'first' AS source_system, CAST(1.0 AS DOUBLE) AS match_confidence
-  FROM snap WHERE period = 1),
-pair AS (
-  SELECT coalesce(o.gold_id, s.gold_id) AS gold_id, o.location_id, o.address_id AS old_address,
-         s.address_id AS new_address
-  FROM opened o FULL JOIN (SELECT * FROM snap WHERE period = 2) s ON o.gold_id = s.gold_id)"""
+  FROM snap WHERE period = 1),""" + ",".join(
+    [_applied_sql("opened", 2, SECOND_DAY, "second"), _applied_sql("second", 3, THIRD_DAY, "third")]
+)
 
 
 def _snapshot(spark, sf_dir, low, high):
     events = table(spark, sf_dir, "events")
     if low is not None:
         events = events.filter(F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
-    events = events.filter(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
+    if high is not None:
+        events = events.filter(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
     last = events.groupBy("user_id").agg(
         F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type")
     )
@@ -277,20 +342,8 @@ def scd2_initial(spark, sf_dir):
     return first_load(spark, sf_dir)
 
 
-@query(
-    "WITH "
-    + SCD2_SQL.strip()
-    + """
-SELECT location_id, gold_id, old_address AS address_id, DATE '2024-01-12' AS valid_from,
-       CASE WHEN old_address = new_address THEN NULL ELSE DATE '2024-01-21' END AS valid_to,
-       coalesce(old_address = new_address, false) AS is_current, 'first' AS source_system,
-       CAST(1.0 AS DOUBLE) AS match_confidence
-FROM pair WHERE location_id IS NOT NULL
-UNION ALL
-SELECT (SELECT max(location_id) FROM opened) + row_number() OVER (ORDER BY gold_id), gold_id, new_address,
-       DATE '2024-01-22', NULL, true, 'first', 1.0
-FROM pair WHERE new_address IS NOT NULL AND old_address IS DISTINCT FROM new_address"""
-)
+@query("WITH " + SCD2_SQL.strip() + "\nSELECT * FROM third")
 def scd2_update(spark, sf_dir):
-    later = _snapshot(spark, sf_dir, FIRST_DAY, SECOND_DAY)
-    return H.scd2_apply(first_load(spark, sf_dir), later, SECOND_DAY)
+    second = _snapshot(spark, sf_dir, FIRST_DAY, SECOND_DAY)
+    state = H.scd2_apply(first_load(spark, sf_dir), second, SECOND_DAY)
+    return H.scd2_apply(state, _snapshot(spark, sf_dir, SECOND_DAY, None), THIRD_DAY)
