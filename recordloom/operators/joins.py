@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import METRES_PER_MILE, Grid, bounding_box, haversine_m
 from ..session import stage
 
-# Rows of one hot key that meet in one task, per side.
+# Default of ``chunk_rows``: rows of one hot key that meet in one task, per side.
 CHUNK_ROWS = 8192
 
 
@@ -57,22 +57,13 @@ def spread_left_join(
     return joined.drop("_salt", "_right_key", "_right_salt")
 
 
-def split_hot_keys(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    spread_left: Column,
-    spread_right: Column,
-    chunk_rows: int = CHUNK_ROWS,
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Prepare two frames for a join whose work per key is rows times rows.
-
-    A key with more than ``chunk_rows`` rows on a side is cut into chunks, and each
-    chunk meets every chunk of the other side in a task of its own.  Other keys keep
-    one copy.  Returns both frames and the columns to join on.
+def hot_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Keys with more than ``chunk_rows`` rows on a side: (keys, _left_chunks, _right_chunks).
 
-    The list of hot keys is staged, so Spark knows its size and broadcasts it only
-    if it is small; a frame of N rows has at most N / ``chunk_rows`` hot keys.
+    Staged, so Spark knows its size and broadcasts it only if it is small; a frame of
+    N rows has at most N / ``chunk_rows`` hot keys.
     """
     keys = list(keys)
     sizes = (
@@ -80,7 +71,7 @@ def split_hot_keys(
         .agg(F.count(F.lit(1)).alias("_left_rows"))
         .join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_right_rows")), keys)
     )
-    hot = stage(
+    return stage(
         sizes.filter(
             (F.col("_left_rows") > chunk_rows) | (F.col("_right_rows") > chunk_rows)
         ).select(
@@ -91,6 +82,28 @@ def split_hot_keys(
         "hot-keys",
     )
 
+
+def split_hot_keys(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    spread_left: Column,
+    spread_right: Column,
+    chunk_rows: int = CHUNK_ROWS,
+    hot: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Prepare two frames for a join whose work per key is rows times rows.
+
+    A key with more than ``chunk_rows`` rows on a side is cut into chunks, and each
+    chunk meets every chunk of the other side in a task of its own.  Other keys keep
+    one copy.  Returns both frames and the columns to join on.  ``chunk_rows`` shapes
+    the plan only; the pairs are the same at any value.  ``hot`` is the result of
+    ``hot_keys``, if the caller has it.
+    """
+    keys = list(keys)
+    if hot is None:
+        hot = hot_keys(left, right, keys, chunk_rows)
+
     def chunked(df: DataFrame, own: str, other: str, spread: Column) -> DataFrame:
         mine = F.coalesce(F.col(f"_{own}_chunks"), F.lit(1))
         theirs = F.coalesce(F.col(f"_{other}_chunks"), F.lit(1))
@@ -115,13 +128,6 @@ def through_bridge(
     return left.join(bridge, left_id).join(right, right_id, "left")
 
 
-def star(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Inner join a fact to its dimensions, by key column."""
-    for key, dim in dims.items():
-        fact = fact.join(dim, key)
-    return fact
-
-
 def pairs_within(
     left: DataFrame,
     right: DataFrame,
@@ -130,6 +136,7 @@ def pairs_within(
     right_id: str,
     lat: str = "latitude",
     lon: str = "longitude",
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Pairs at most ``metres`` apart: (left_id, right_id, distance_m).
 
@@ -152,7 +159,7 @@ def pairs_within(
     )
     flat = lambda df: df.select("*", "_cell.row", "_cell.column").drop("_cell")
     a, b, keys = split_hot_keys(
-        flat(a), flat(b), ["row", "column"], F.col("_left"), F.col("_right")
+        flat(a), flat(b), ["row", "column"], F.col("_left"), F.col("_right"), chunk_rows
     )
     distance = haversine_m("_lat_a", "_lon_a", "_lat_b", "_lon_b")
     return (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,14 +12,20 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.geo import haversine_m
-from ..functions.similarity import SIGNATURE_COLUMNS, could_exceed, jaro_winkler, with_signature
+from ..functions.similarity import (
+    PREFIX_WEIGHT,
+    SIGNATURE_COLUMNS,
+    could_exceed,
+    jaro_winkler,
+    with_signature,
+)
 from ..session import stage
-from .joins import anti_not_in, split_hot_keys
+from .joins import CHUNK_ROWS, anti_not_in, hot_keys, split_hot_keys
 from .numbering import number_rows
 from .shape import stack
 
-# Distinct texts of one block that meet in one task, per side.  A pair here costs far
-# more than the bytes of its two rows, so chunks are small.
+# Distinct texts of one block that meet in one task, per side: the default of ``text_rows``.
+# A pair here costs far more than the bytes of its two rows, so chunks are small.
 SCORED_CHUNK_ROWS = 512
 
 
@@ -49,7 +56,12 @@ def match_frame(
 
 
 def exact_pairs(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, right_id: str
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_id: str,
+    right_id: str,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Every pair with equal keys; NULL keys never match.
 
@@ -63,10 +75,31 @@ def exact_pairs(
         keys,
         F.col(left_id),
         F.col(right_id),
+        chunk_rows,
     )
     return a.join(b, on).select(left_id, right_id)
 
 
+def _banded(a: DataFrame, b: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Add ``_band`` to both sides so that texts of hopeless lengths never meet.
+
+    Jaro is at most (2 + r) / 3 for a length ratio r, and four common first letters
+    raise it to at most 0.4 + 0.6 of that.  A pair above the threshold thus has at
+    least the ratio r below; its logarithmic bands are equal or neighbours.  The left
+    side has its own band, the right side three, so a pair meets once.
+    """
+    boost = 4 * PREFIX_WEIGHT
+    ratio = 3 * (threshold - boost) / (1 - boost) - 2 - 1e-9
+    if ratio <= 0:
+        return a.withColumn("_band", F.lit(0)), b.withColumn("_band", F.lit(0))
+
+    def band(size: str) -> Column:
+        return F.floor(F.ln(F.col(size)) / F.lit(math.log(1 / ratio))).cast("int")
+
+    near = F.explode(F.sequence(band("size_b") - 1, band("size_b") + 1))
+    return a.withColumn("_band", band("size_a")), b.withColumn("_band", near)
+
+
 def similar_texts(
     left: DataFrame,
     right: DataFrame,
@@ -75,20 +108,22 @@ def similar_texts(
     threshold: float,
     inclusive: bool = False,
     ordered: bool = False,
+    text_rows: int = SCORED_CHUNK_ROWS,
 ) -> DataFrame:
     """Distinct text pairs of a block scoring above the threshold: (block, _text_a, _text_b, score).
 
     Copies collapse before any pairing, and the sketched texts are staged, because
-    counting the blocks and joining them both read them.  Large blocks are cut so
-    that no task holds one whole.  The native bound is part of the join condition,
-    so pairs it rules out never leave the join, and only the rest is scored.
-    ``ordered`` keeps ``_text_a < _text_b``, for a frame joined with itself.
+    counting the blocks and joining them both read them.  Texts meet by block and
+    length band, and where those are large in chunks of ``text_rows``, so that no task
+    holds one whole.  The native bound is part of the join condition, so pairs it rules
+    out never leave the join, and only the rest is scored.  ``ordered`` keeps
+    ``_text_a < _text_b``, for a frame joined with itself.
     """
     block = list(block)
 
     def sketched(df: DataFrame) -> DataFrame:
         texts = df.select(*block, F.col(text).alias("_text")).dropna().distinct()
-        return stage(with_signature(texts, "_text"), "texts")
+        return stage(with_signature(texts, "_text").filter("size > 0"), "texts")
 
     def named(df: DataFrame, suffix: str) -> DataFrame:
         return df.withColumnsRenamed(
@@ -96,18 +131,21 @@ def similar_texts(
         )
 
     texts = sketched(left)
-    a = named(texts, "a")
-    b = named(texts if right is left else sketched(right), "b")
-    a, b, keys = split_hot_keys(
-        a, b, block, F.col("_text_a"), F.col("_text_b"), SCORED_CHUNK_ROWS
+    a, b = _banded(
+        named(texts, "a"), named(texts if right is left else sketched(right), "b"), threshold
     )
-    # The work here is pairs, not bytes: a fixed count keeps the partitions from being
-    # merged, and several per core even out chunks of unlike cost.
+    keys = [*block, "_band"]
+    hot = hot_keys(a, b, keys, text_rows)
+    # The work here is pairs, not bytes: an explicit count keeps the partitions from
+    # being merged, with one for every pair of chunks.
+    chunk_pairs = hot.agg(F.sum(F.col("_left_chunks") * F.col("_right_chunks"))).first()[0] or 0
     spark = a.sparkSession
     parts = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         4 * spark.sparkContext.defaultParallelism,
+        int(chunk_pairs),
     )
+    a, b, keys = split_hot_keys(a, b, keys, F.col("_text_a"), F.col("_text_b"), text_rows, hot)
     a, b = a.repartition(parts, *keys), b.repartition(parts, *keys)
     condition = could_exceed("a", "b", threshold)
     if ordered:
@@ -128,17 +166,41 @@ def fuzzy_pairs(
     left_id: str,
     right_id: str,
     inclusive: bool = False,
+    text_rows: int = SCORED_CHUNK_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Pairs with equal block keys whose text scores above the threshold: ids and score."""
+    """Pairs with equal block keys whose text scores above the threshold: ids and score.
+
+    Copies of a text come back in chunks of ``chunk_rows``: a pair of texts is repeated
+    for every pair of chunks, each side fetches the rows of its chunk, and the two
+    meet on texts and chunks.  A task thus writes at most ``chunk_rows`` squared pairs of
+    two texts, however often they occur.
+    """
     block = list(block)
-    similar = similar_texts(left, right, block, text, threshold, inclusive)
-    a = left.select(left_id, *block, F.col(text).alias("_text_a"))
-    b = right.select(right_id, *block, F.col(text).alias("_text_b"))
-    return (
-        similar.join(a, [*block, "_text_a"])
-        .join(b, [*block, "_text_b"])
-        .select(left_id, right_id, "score")
+
+    def copies(df: DataFrame, id_column: str, side: str) -> tuple[DataFrame, DataFrame]:
+        rows = df.select(id_column, *block, F.col(text).alias(f"_text_{side}")).dropna(subset=[*block, f"_text_{side}"])
+        on = [*block, f"_text_{side}"]
+        chunks = rows.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias(f"_chunks_{side}"))
+        chunk = F.pmod(F.xxhash64(id_column), F.col(f"_chunks_{side}"))
+        return chunks, rows.join(chunks, on).withColumn(f"_chunk_{side}", chunk).drop(f"_chunks_{side}")
+
+    a_chunks, a = copies(left, left_id, "a")
+    b_chunks, b = copies(right, right_id, "b")
+    zero = F.lit(0).cast("long")
+    pairs = stage(
+        similar_texts(left, right, block, text, threshold, inclusive, text_rows=text_rows)
+        .join(a_chunks, [*block, "_text_a"])
+        .join(b_chunks, [*block, "_text_b"])
+        .withColumn("_chunk_a", F.explode(F.sequence(zero, F.col("_chunks_a") - 1)))
+        .withColumn("_chunk_b", F.explode(F.sequence(zero, F.col("_chunks_b") - 1)))
+        .drop("_chunks_a", "_chunks_b"),
+        "similar",
     )
+    both = [*block, "_text_a", "_text_b", "_chunk_a", "_chunk_b"]
+    found_left = pairs.join(a, [*block, "_text_a", "_chunk_a"])
+    found_right = pairs.drop("score").join(b, [*block, "_text_b", "_chunk_b"])
+    return found_left.join(found_right, both).select(left_id, right_id, "score")
 
 
 def link(
@@ -195,6 +257,11 @@ def multi_match(links: DataFrame, left_id: str, right_id: str) -> DataFrame:
     return stack(side("left", left_id, right_id), side("right", right_id, left_id))
 
 
+def by_similarity(queue: DataFrame) -> DataFrame:
+    """Pending review rows, the most alike names first."""
+    return queue.filter("review_status = 'pending'").orderBy(F.desc("name_similarity"), "review_id")
+
+
 @dataclass(frozen=True)
 class Bands:
     """Score bands: above ``high`` links on its own, ``low`` to ``high`` is for review."""

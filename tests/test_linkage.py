@@ -3,6 +3,7 @@ import itertools
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from recordloom.operators import joins as J
 from recordloom.operators import linkage as L
@@ -70,15 +71,18 @@ def test_score_at_the_threshold_does_not_link(spark):
 
 
 @pytest.mark.parametrize("chunk", [1, 3, 1000])
-def test_hot_keys_split_without_changing_the_pairs(spark, chunk, monkeypatch):
-    monkeypatch.setattr(L, "SCORED_CHUNK_ROWS", chunk)
+def test_hot_keys_split_without_changing_the_pairs(spark, chunk):
     names = [f"{a} {b} house" for a in ("red", "blue", "green", "old") for b in ("oak", "elm", "fir")]
     left, right = frames(
         spark,
         [(str(i), n, "x", "or") for i, n in enumerate(names * 2)],
         [(str(i), n + "s", "x", "or") for i, n in enumerate(names)],
     )
-    got = {(r.l, r.r) for r in L.fuzzy_pairs(left, right, ["state_province", "city"], "name", 0.9, "l", "r").collect()}
+    found = L.fuzzy_pairs(
+        left, right, ["state_province", "city"], "name", 0.9, "l", "r", text_rows=chunk, chunk_rows=chunk
+    ).collect()
+    got = {(r.l, r.r) for r in found}
+    assert len(got) == len(found)
     want = {
         (str(i), str(j))
         for (i, a), (j, b) in itertools.product(enumerate(names * 2), enumerate(names))
@@ -87,6 +91,41 @@ def test_hot_keys_split_without_changing_the_pairs(spark, chunk, monkeypatch):
     assert got == want and want
 
 
+def test_copies_of_one_name_spread_over_tasks(spark):
+    left, right = frames(
+        spark,
+        [(f"l{i}", "old oak house", "x", "or") for i in range(400)] + [("m", "blue", "x", "or")],
+        [(f"r{i}", "old oak hause", "x", "or") for i in range(300)] + [("n", "blues", "x", "or")],
+    )
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = L.fuzzy_pairs(left, right, ["state_province", "city"], "name", 0.9, "l", "r", chunk_rows=40)
+        by_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert sum(by_task) == 400 * 300 + 1
+    assert max(by_task) < 0.25 * sum(by_task)
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.85, 0.9, 0.97])
+def test_length_bands_lose_no_pair(spark, threshold):
+    names = ["a" * n + "b" * m for n in range(1, 14) for m in (0, 1, 3)]
+    left, right = frames(
+        spark, [(str(i), n, "x", "or") for i, n in enumerate(names)], [(str(i), n, "x", "or") for i, n in enumerate(names)]
+    )
+    got = {(int(r.l), int(r.r)) for r in L.fuzzy_pairs(left, right, ["state_province", "city"], "name", threshold, "l", "r").collect()}
+    con = duckdb.connect()
+    con.sql("CREATE TABLE n AS SELECT unnest(range(len($names))) AS i, unnest($names) AS name", params={"names": names})
+    want = con.sql(
+        "SELECT a.i, b.i FROM n a, n b WHERE jaro_winkler_similarity(a.name, b.name) > $t", params={"t": threshold}
+    ).fetchall()
+    assert got == set(want)
+
+
 @pytest.mark.parametrize("chunk", [2, 8192])
 def test_split_join_equals_plain_join(spark, chunk):
     left = spark.createDataFrame([("k", i) for i in range(9)] + [("m", 99)], "key string, a int")

@@ -38,12 +38,42 @@ def test_pages(spark, number, expected):
     assert tuple(got.totals.first()) == (number, 3, 10, 4)
 
 
-def test_deep_page_equals_shallow_one(spark, monkeypatch):
-    from recordloom.operators import numbering
-
-    shallow = [r.id for r in page(spark.range(100), "id", 3, 7).rows.collect()]
-    monkeypatch.setattr(numbering, "SHALLOW_ROWS", 0)
-    assert [r.id for r in page(spark.range(100), "id", 3, 7).rows.collect()] == shallow
+def test_pages_carry_whole_rows_and_number_keys_only(spark):
+    df = spark.range(100).select((99 - F.col("id")).alias("k"), F.lit("wide").alias("v"))
+    assert [tuple(r) for r in page(df, "k", 3, 7).rows.collect()] == [(k, "wide") for k in range(14, 21)]
+
+
+def plain_ranks(rows):
+    """row_number per (k, j) by o, with nulls first."""
+    order = lambda v: tuple((x is not None, x if x is not None else 0) for x in v)
+    ranks, seen = [], {}
+    for k, j, o in sorted(rows, key=order):
+        seen[k, j] = seen.get((k, j), 0) + 1
+        ranks.append((k, j, o, seen[k, j]))
+    return ranks
+
+
+def test_ranks_within_groups_of_every_size(spark):
+    import random
+
+    rng = random.Random(9)
+    groups = [(1, None), (1, 2), (None, None), (None, 3), (4, 4), (5, 1)]
+    rows = [(*rng.choice(groups), n) for n in range(600)] + [(7, 7, 1000 + n) for n in range(1500)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, j int, o int").repartition(5)
+    for batch in ("3", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            ranked = rank_within(df, ["k", "j"], ["o"], "rank")
+            got = [tuple(r) for r in ranked.select("k", "j", "o", "rank").collect()]
+            parts = ranked.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert ranked.columns == ["k", "j", "o", "rank"]
+        assert sorted(map(str, got)) == sorted(map(str, plain_ranks(rows)))
+        assert len(parts) >= 2 and max(r["count"] for r in parts) < 1200  # the hot group stays spread
 
 
 @pytest.mark.parametrize("bad", [0, 101, -1])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions.geo import EARTH_RADIUS_M, METRES_PER_MILE, haversine_m
 from recordloom.operators import addresses as A
-from recordloom.operators.graph import connected_components, spanning_edges
+from recordloom.operators.graph import connected_components
 from recordloom.operators.joins import pairs_within, within_radius
 
 DEGREE_M = EARTH_RADIUS_M * math.pi / 180
@@ -82,8 +82,6 @@ def test_components_equal_union_find(spark):
     df = spark.createDataFrame(edges, "u string, v string")
     rows = connected_components(df).collect()
     assert len(rows) == len(want) and {r.node: r.component for r in rows} == want
-    thin = {r.node: r.component for r in connected_components(spanning_edges(df)).collect()}
-    assert thin == want
 
 
 def addresses(spark, rows):

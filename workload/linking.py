@@ -94,6 +94,28 @@ def link_two_strategy(spark, sf_dir):
     return links.withColumn("score", F.round("score", 9))
 
 
+NAMED = "CASE WHEN {key} % 3 = 0 THEN 'Harbor House' WHEN {key} % 3 = 1 THEN 'Harbour House' ELSE {name} END"
+
+
+@query(
+    f"""
+WITH l AS (SELECT c_custkey, {NAMED.format(key="c_custkey", name="c_name")} AS name, c_nationkey AS nation FROM customer),
+r AS (SELECT s_suppkey, {NAMED.format(key="s_suppkey", name="s_name")} AS name, s_nationkey AS nation FROM supplier)
+SELECT c_custkey, s_suppkey, round(jaro_winkler_similarity(l.name, r.name), 9) AS score
+FROM l JOIN r USING (nation) WHERE jaro_winkler_similarity(l.name, r.name) > 0.90"""
+)
+def link_repeated_name(spark, sf_dir):
+    """Two spellings of one name on two thirds of either side."""
+    left = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.expr(NAMED.format(key="c_custkey", name="c_name")).alias("name"), F.col("c_nationkey").alias("nation")
+    )
+    right = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.expr(NAMED.format(key="s_suppkey", name="s_name")).alias("name"), F.col("s_nationkey").alias("nation")
+    )
+    pairs = L.fuzzy_pairs(left, right, ["nation"], "name", 0.90, "c_custkey", "s_suppkey", text_rows=64, chunk_rows=16)
+    return pairs.withColumn("score", F.round("score", 9))
+
+
 MERGED_SQL = """
 merged AS (
   SELECT l.brewery_id, r.partner_brewery_id, l.name, l.brewery_type, l.street_address, l.city,
