@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import quality as Q
-from ..sources.tables import log_run, read_table, recent_runs, replace_table
+from ..sources.tables import RunRecord, log_run, materialize, read_table, recent_runs, replace_table
 
 
 @dataclass(frozen=True)
@@ -20,10 +19,7 @@ class LoadJob:
     source: str
     table: str
     read: Callable[[SparkSession], DataFrame]
-    context: str
-    required: Sequence[str] = ()
-    not_all_null: Sequence[str] = ()
-    null_rates: Sequence[str] = field(default=())
+    checks: Q.FeedChecks
 
 
 def run_load(spark: SparkSession, job: LoadJob, root: str, log_path: str) -> int:
@@ -33,39 +29,19 @@ def run_load(spark: SparkSession, job: LoadJob, root: str, log_path: str) -> int
     taken while the new table is written, and a bad feed leaves the old table.  Any
     error is logged with its text and raised again.
     """
-    started = time.monotonic()
-    rows = 0
+    started, rows = time.monotonic(), 0
 
-    def log(status: str, note: str | None = None, metrics: dict | None = None) -> None:
+    def record(status: str, **more) -> None:
         took = time.monotonic() - started
-        log_run(spark, log_path, job.source, job.table, rows, status, note, metrics, took)
+        log_run(spark, log_path, RunRecord(job.source, job.table, rows, status, duration_seconds=took, **more))
 
     try:
-        df = Q.ensure_required_columns(job.read(spark), job.required, job.context)
-        counted = [c for c in {*job.not_all_null, *job.null_rates} if c in df.columns]
-
-        def accept(seen: dict) -> None:
-            if seen["rows"] == 0:
-                raise Q.CheckError(f"{job.context}: no rows returned")
-            empty = [c for c in job.not_all_null if c in counted and seen[f"known_{c}"] == 0]
-            if empty:
-                raise Q.CheckError(f"{job.context}: columns entirely null {empty}")
-
-        seen = replace_table(
-            df,
-            f"{root}/{job.table}",
-            {f"known_{c}": F.count(Q.known_value(df, c)) for c in counted},
-            accept,
-        )
+        df = job.read(spark)
+        seen = replace_table(df, f"{root}/{job.table}", job.checks.measures(df), job.checks.judge)
         rows = seen["rows"]
-        rates = {
-            f"null_pct_{c}": Q.rate(rows - seen[f"known_{c}"], rows)
-            for c in job.null_rates
-            if c in counted
-        }
-        log("success", metrics={"row_count": rows, **rates})
+        record("success", metrics={"row_count": rows, **job.checks.summary(seen)})
     except Exception as error:
-        log("failed", note=str(error))
+        record("failed", note=str(error))
         raise
     return rows
 
@@ -89,15 +65,17 @@ def run_pipeline(
     tests: Callable[[Frames], Sequence[Q.DataTest | Q.TableRules]],
     root: str,
     log_path: str,
+    kinds: Mapping[str, str] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Loads, then models in the given order, then tests; the first failure stops the run.
 
-    Each model sees the tables and the models before it.  Returns all frames and the
-    test results.
+    Each model sees the tables and the models before it and becomes a view, a table or
+    an inlined frame as ``kinds`` says (``table`` by default, so that nothing is computed
+    for every model that reads it).  Returns all frames and the test results.
     """
     run_loads(spark, jobs, root, log_path)
     frames = {job.table: read_table(spark, f"{root}/{job.table}") for job in jobs}
     for name, model in models.items():
-        frames[name] = model(frames)
+        frames[name] = materialize(model(frames), name, (kinds or {}).get(name, "table"), root)
     results = Q.ensure_passed(Q.run_suite(tests(frames)))
     return frames, results

@@ -100,7 +100,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def rename_path(spark: SparkSession, source: str, target: str) -> None:
-    fs, from_path = _filesystem(spark, source)
-    if not fs.rename(from_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
-        raise OSError(f"could not rename {source} to {target}")
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, made in one step; an error if it exists."""
+    fs, target = _filesystem(spark, path)
+    if not fs.createNewFile(target):
+        raise FileExistsError(path)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    fs, folder = _filesystem(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(folder)]

@@ -87,14 +87,53 @@ def test_table_may_be_replaced_from_itself(spark, tmp_path):
     assert S.replace_table(spark.range(5), path)["rows"] == 5
     assert S.replace_table(S.read_table(spark, path).filter("id > 1"), path)["rows"] == 3
     assert S.read_table(spark, path).count() == 3
-    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert len([p for p in (tmp_path / "t").iterdir() if not p.name.startswith(".")]) == 1  # the old version is gone
+
+
+@pytest.mark.parametrize("fault", ["write", "accept", "commit"])
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path, monkeypatch, fault):
+    path = str(tmp_path / "t")
+    S.replace_table(spark.range(5), path)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    broken = spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("bad row"))))
+    if fault == "commit":
+        monkeypatch.setattr(S, "create_file", fail)
+    with pytest.raises(Exception):
+        S.replace_table(broken if fault == "write" else spark.range(9), path, accept=fail if fault == "accept" else None)
+    monkeypatch.undo()
+    assert S.read_table(spark, path).count() == 5
+    assert S.replace_table(spark.range(7), path)["rows"] == 7 and S.read_table(spark, path).count() == 7
+
+
+def test_a_version_that_was_never_accepted_does_not_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(f"{path}/version-000000001")  # a writer that died
+    with pytest.raises(FileNotFoundError):
+        S.read_table(spark, path)
+    S.replace_table(spark.range(4), path)
+    spark.range(3).write.parquet(f"{path}/version-000000009")
+    assert S.read_table(spark, path).count() == 4
+
+
+def test_files_with_differing_headers_match_by_name(spark, tmp_path):
+    write(tmp_path / "a b.csv", 'id,name,x\n1,"a\nb",1.5\n')
+    write(tmp_path / "c.csv", "name,x,id,more\nz,NA,2,q\n")
+    write(tmp_path / "d.csv", "id,name,x\n")
+    got = R.read_delimited(spark, str(tmp_path), T.StructType.fromDDL("id string, name string, x double"))
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "a\nb", 1.5), ("2", "z", None)]
+    write(tmp_path / "e.csv", "id,x\n3,1\n")
+    with pytest.raises(Q.CheckError, match="missing required columns"):
+        R.read_delimited(spark, str(tmp_path), T.StructType.fromDDL("id string, name string, x double"))
 
 
 def test_run_log(spark, tmp_path):
     log = str(tmp_path / "log")
     assert S.recent_runs(spark, log).collect() == []
     for i in range(3):
-        S.log_run(spark, log, "src", "tbl", i, "success", "note", at=dt.datetime(2024, 1, i + 1, tzinfo=dt.timezone.utc))
+        S.log_run(spark, log, S.RunRecord("src", "tbl", i, "success", "note", at=dt.datetime(2024, 1, i + 1, tzinfo=dt.timezone.utc)))
     got = S.recent_runs(spark, log, 2).collect()
     assert [(r.source, r.table_name, r.row_count, r.status, r.note) for r in got] == [
         ("src", "tbl", 2, "success", "note"), ("src", "tbl", 1, "success", "note"),
@@ -109,7 +148,7 @@ def test_older_log_without_later_columns(spark, tmp_path):
         "ts timestamp, source string, table_name string, row_count long, status string, note string",
     ).write.parquet(log)
     assert "metrics_json" not in S.recent_runs(spark, log).columns
-    S.log_run(spark, log, "s", "t", 2, "success", metrics={"row_count": 2})
+    S.log_run(spark, log, S.RunRecord("s", "t", 2, "success", metrics={"row_count": 2}))
     assert [r.metrics_json for r in S.recent_runs(spark, log).collect()] == ['{"row_count": 2}', None]
 
 
@@ -124,8 +163,11 @@ def flat_rows(spark, **override):
     return spark.createDataFrame([tuple(r[c] for c in P.FLAT_COLUMNS) for r in full], P.FLAT_SCHEMA)
 
 
-def job(read, **more):
-    return LoadJob("flat_csv", "raw_flat", read, "flat feed", P.FLAT_COLUMNS, P.COORDINATE_COLUMNS, P.COORDINATE_COLUMNS, **more)
+FLAT_CHECKS = Q.FeedChecks("flat feed", P.FLAT_COLUMNS, P.COORDINATE_COLUMNS, P.COORDINATE_COLUMNS)
+
+
+def job(read):
+    return LoadJob("flat_csv", "raw_flat", read, FLAT_CHECKS)
 
 
 def test_load_and_bad_feed(spark, tmp_path):
@@ -148,16 +190,16 @@ def test_load_and_bad_feed(spark, tmp_path):
 
 def test_checks(spark):
     df = spark.createDataFrame([(1, None, 3), (None, None, 4)], "a int, b int, c int")
-    Q.ensure_required_columns(df, ["a", "b"], "ctx")
-    Q.ensure_not_all_null(df, ["a", "absent"], "ctx")
+    assert Q.FeedChecks("ctx", ["a", "b"], ["a", "absent"], ["a", "b", "absent"]).run(df) == {"null_pct_a": 0.5, "null_pct_b": 1.0}
     with pytest.raises(Q.CheckError, match=r"ctx: columns entirely null \['b'\]"):
-        Q.ensure_not_all_null(df, ["a", "b"], "ctx")
-    with pytest.raises(Q.CheckError):
-        Q.ensure_not_all_null(df.limit(0), ["a"], "ctx")
+        Q.FeedChecks("ctx", some_known=["a", "b"]).run(df)
+    with pytest.raises(Q.CheckError, match=r"ctx: missing required columns \['d'\]"):
+        Q.FeedChecks("ctx", ["d"]).run(df)
     with pytest.raises(Q.CheckError, match="ctx: no rows returned"):
-        Q.ensure_non_empty(df.limit(0), "ctx")
-    assert Q.summarize_null_rates(df, ["a", "b", "absent"]) == {"null_pct_a": 0.5, "null_pct_b": 1.0}
-    assert Q.summarize_null_rates(df.limit(0), ["a", "absent"]) == {"null_pct_a": 0.0, "null_pct_absent": 0.0}
+        Q.FeedChecks("ctx", some_known=["a"]).run(df.limit(0))
+    assert Q.FeedChecks("ctx", rates=["a"]).summary({"rows": 0, "known_a": 0}) == {"null_pct_a": 0.0}
+    columns, rows = Q.look(df, 1)
+    assert columns.count() == 3 and rows.count() == 1
     assert Q.accepted_values(df, "a", ["1"]).count() == 0
     assert Q.expression_is_true(df, "a > 5").count() == 1
 
@@ -187,9 +229,8 @@ def test_two_feeds_end_to_end(spark, tmp_path):
         ]),
     )
     jobs = [
-        LoadJob("flat_csv", "raw_flat", lambda s: R.read_delimited(s, flat, P.FLAT_SCHEMA), "flat feed",
-                P.FLAT_COLUMNS, P.COORDINATE_COLUMNS, P.COORDINATE_COLUMNS),
-        LoadJob("nested_json", "raw_nested", lambda s: R.read_json_records(s, nested, P.NESTED_SCHEMA), "nested feed"),
+        LoadJob("flat_csv", "raw_flat", lambda s: R.read_delimited(s, flat, P.FLAT_SCHEMA), FLAT_CHECKS),
+        LoadJob("nested_json", "raw_nested", lambda s: R.read_json_records(s, nested, P.NESTED_SCHEMA), Q.FeedChecks("nested feed")),
     ]
     steps = {
         "left": lambda f: models.standard_flat(f["raw_flat"]),
