@@ -1,7 +1,4 @@
-"""Registered queries against their SQL at the smallest scale.
-
-The default choice takes one of each kind; set RECORDLOOM_ALL_QUERIES=1 for all.
-"""
+"""Registered queries against their SQL at the smallest scale."""
 
 import os
 
@@ -11,15 +8,9 @@ from compare import TABLES, check, oracle
 from workload import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-SOME = (
-    "standardize_flat standardize_nested merge_two_sources anti_filled_list multi_match address_hashes "
-    "address_dim scd2_update relocations statistics review_queue page_deep test_suite run_log"
-).split()
-CHOSEN = list(QUERIES) if os.environ.get("RECORDLOOM_ALL_QUERIES") else SOME
-
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver tables")
-@pytest.mark.parametrize("name", CHOSEN)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, name):
     _, _, problem = check(spark, oracle(SF), name, QUERIES[name], ORACLES.get(name), SF)
     assert problem is None

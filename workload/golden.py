@@ -210,10 +210,9 @@ def statistics_document(spark, sf_dir):
 @query(
     with_links(
         """
-SELECT source_system, count(*) AS entity_count, count(CASE WHEN phone_source = 'second' THEN 1 END) AS phone_count,
-       count(CASE WHEN website_source = 'second' THEN 1 END) AS website_count,
-       count(CASE WHEN is_public = true THEN 1 END) AS public_count
-FROM flat GROUP BY source_system""",
+SELECT source_system, sum(1)::BIGINT AS entity_count, count(*) FILTER (phone_source = 'second') AS phone_count,
+       count(*) FILTER (website_source = 'second') AS website_count, count(*) FILTER (is_public) AS public_count
+FROM flat GROUP BY ALL""",
         MAPPING_SQL,
         IDENTITY_SQL,
         FLAT_SQL,
@@ -338,13 +337,6 @@ def gold_documents_flattened(spark, sf_dir):
     return flatten(G.nested_current(flat, P.LEFT_ID, P.RIGHT_ID, SOURCES))
 
 
-DOMESTIC_KEYS_SQL = """
-lkey AS (SELECT brewery_id, lower(trim(name)) AS name, lower(trim(city)) AS city,
-         lower(trim(state_province)) AS state_province FROM lft WHERE trim(country) = 'United States'),
-rkey AS (SELECT partner_brewery_id, lower(trim(name)) AS name, lower(trim(city)) AS city,
-         lower(trim(state_province)) AS state_province FROM rgt WHERE trim(country) = 'United States')"""
-
-
 def reviewed(spark, sf_dir):
     left, right = _addressed(spark, sf_dir)
     tiered = L.tier(L.scored_pairs(left, right, P.LEFT_ID, P.RIGHT_ID))
@@ -365,7 +357,7 @@ SELECT row_number() OVER (ORDER BY brewery_id, partner_brewery_id) AS review_id,
             ELSE round({metres_sql("l", "r")}, 2) END AS address_similarity,
        'pending' AS review_status, TIMESTAMP '2024-02-01 00:00:00' AS created_at
 FROM flagged f JOIN ladr l USING (brewery_id) JOIN radr r USING (partner_brewery_id)""",
-        DOMESTIC_KEYS_SQL,
+        KEYS_SQL,
         PAIRS_SQL,
     )
 )
@@ -384,7 +376,7 @@ def review_queue(spark, sf_dir):
         """
 SELECT floor(score / 0.05 + 1e-9) * 5 / 100 AS bucket, count(*) AS n FROM (
   SELECT round(score, 9) AS score FROM tiered) GROUP BY 1""",
-        DOMESTIC_KEYS_SQL,
+        KEYS_SQL,
         PAIRS_SQL,
     ).replace("floor(score / 0.05 + 1e-9) * 5 / 100", "round(floor(score / 0.05) * 0.05, 9)")
 )
