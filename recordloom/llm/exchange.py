@@ -10,6 +10,7 @@ and a task holds one block or one bucket; both bounds are parameters, whatever t
 from __future__ import annotations
 
 import gc
+import time
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_KEYS = 1_000_000
 
 
@@ -71,12 +72,10 @@ class Words:
         return np.append(0, self.ends[:-1]).astype(np.int64)[: len(self.ends)]
 
     def hashes(self, seed: int) -> np.ndarray:
-        """64-bit hash of every distinct word."""
-        return np.fromiter(
-            (xxhash.xxh64_intdigest(w.as_buffer(), seed) for w in self.distinct.cast(pa.binary())),
-            np.uint64,
-            len(self.distinct),
-        )
+        """Two independent 64-bit hashes of every distinct word, a row each."""
+        digest = xxhash.xxh3_128_digest
+        every = b"".join([digest(w, seed) for w in self.distinct.cast(pa.large_binary()).to_pylist()])
+        return np.frombuffer(every, "<u8").reshape(-1, 2)
 
 
 def words_of(texts: pa.Array | pa.ChunkedArray, lower: bool) -> Words:
@@ -111,7 +110,10 @@ def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are no longer referred to.
 
     It does so when the driver collects its garbage, which a driver with little to do may
-    put off until the next phase has filled the disks.
+    put off until the next phase has filled the disks.  One collection finds the plans,
+    the next one their shuffles.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)

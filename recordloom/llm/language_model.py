@@ -61,7 +61,7 @@ class Grams:
         self.token, self.context = token, context
         self.doc = np.repeat(np.arange(n_docs), self.sizes)
         pairs, self.pair = np.unique(context * (n_words + 2) + token, return_inverse=True)
-        hashes = np.append(words.hashes(SEED), [_END, _BEGIN])
+        hashes = np.append(words.hashes(SEED)[:, 0], [_END, _BEGIN])
         left, right = hashes[pairs // (n_words + 2)], hashes[pairs % (n_words + 2)]
         one = X.scramble(hashes) | np.uint64(1)
         two = X.scramble(X.scramble(left) * np.uint64(0x9E3779B97F4A7C15) + right) & ~np.uint64(1)

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,22 +44,52 @@ class Edges:
 
     def __init__(self, docs: pa.Table, seed: int, window: int):
         self.docs = docs.sort_by([("place", "ascending"), ("text_hash", "ascending")])
+        self.window, self.seed = window, seed
         self.words = X.words_of(self.docs.column("text"), lower=False)
         code, ends = self.words.code, self.words.ends
         sizes = ends - self.words.starts
         left = np.repeat(ends, sizes) - np.arange(len(code))  # words up to the document's end
         self.start = np.nonzero(left >= window)[0]  # ordinals of the windows
-        self.key = self._rolled(2 * seed, window)
-        self.check = self._rolled(2 * seed + 1, window)
-        self.keys, self.first, self.number = np.unique(self.key, return_index=True, return_inverse=True)
 
-    def _rolled(self, seed: int, window: int) -> np.ndarray:
-        word = X.scramble(self.words.hashes(seed))[self.words.code] if len(self.words.code) else np.zeros(0, np.uint64)
+    @cached_property
+    def _hashes(self) -> np.ndarray:
+        return self.words.hashes(self.seed)
+
+    def _rolled(self, which: int) -> np.ndarray:
+        word = X.scramble(self._hashes[:, which])[self.words.code]
         value = np.zeros(len(self.start), np.uint64)
-        for i in range(window):
-            value = value * np.uint64(0x9E3779B97F4A7C15) + word[self.start + i]
+        for i in range(self.window):
+            value *= np.uint64(0x9E3779B97F4A7C15)
+            value += word[self.start + i]
         return X.scramble(value)
 
+    @cached_property
+    def key(self) -> np.ndarray:
+        """A hash of each window."""
+        return self._rolled(0)
+
+    @cached_property
+    def check(self) -> np.ndarray:
+        """Another hash of each window, independent of the key."""
+        return self._rolled(1)
+
+    @cached_property
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys in order, the first window of each, and the number of each window's key."""
+        return np.unique(self.key, return_index=True, return_inverse=True)
+
+    @property
+    def keys(self) -> np.ndarray:
+        return self.distinct[0]
+
+    @property
+    def first(self) -> np.ndarray:
+        return self.distinct[1]
+
+    @property
+    def number(self) -> np.ndarray:
+        return self.distinct[2]
+
     def cuts(self, buckets: int) -> list[int]:
         """Where the distinct keys of each bucket begin, and the end."""
         return [0, *np.searchsorted(self.keys, X.bucket_bounds(buckets)).tolist(), len(self.keys)]

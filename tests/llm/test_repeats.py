@@ -56,9 +56,9 @@ def test_a_collision_is_refuted(docs_of, monkeypatch):
     """With few key bits different windows share a key; the check finds it out under any seed."""
     real = repeats.Edges._rolled
 
-    def narrow(self, seed, window):
-        value = real(self, seed, window)
-        return value % 64 if seed == 0 else value
+    def narrow(self, which):
+        value = real(self, which)
+        return value % 64 if which == 0 else value
 
     docs = docs_of([(i, words(60, 100 * i), "s") for i in range(4)])
     rows = docs.select("doc_id", F.lit(0), F.lit(0), "text").collect()
