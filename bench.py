@@ -21,7 +21,9 @@ HEADLINE = (
     "standardize_flat standardize_nested link_exact link_fuzzy link_two_strategy merge_two_sources "
     "id_mapping identity_dim statistics address_hashes text_digests proximity_join address_clusters "
     "address_dim row_numbering rank_in_group snapshot_intervals scd2_update succession relocations "
-    "null_rates test_suite relationships_failures delimited_round_trip run_log"
+    "null_rates test_suite relationships_failures delimited_round_trip run_log "
+    "gold_current gold_documents_flattened review_queue confidence_tiers whole_run pipeline_metrics quality_report "
+    "history_documents link_repeated_name delimited_files_of_two_headers json_array_read materialized_kinds"
 ).split()
 
 
