@@ -52,15 +52,19 @@ class Grams:
         # Tokens of all texts, an end after each; the context of a first word is the begin.
         self.sizes = words.ends - words.starts + 1
         last = np.cumsum(self.sizes) - 1
-        token = np.empty(len(words.code) + n_docs, np.int64)
+        token = np.empty(len(words.code) + n_docs, np.int32)
         is_end = np.zeros(len(token), bool)
         is_end[last] = True
         token[is_end], token[~is_end] = self.end, words.code
-        context = np.append(self.begin, token[:-1])[: len(token)]
+        context = np.empty_like(token)
+        context[1:] = token[:-1]
         context[last - self.sizes + 1] = self.begin
         self.token, self.context = token, context
-        self.doc = np.repeat(np.arange(n_docs), self.sizes)
-        pairs, self.pair = np.unique(context * (n_words + 2) + token, return_inverse=True)
+        self.doc = np.repeat(np.arange(n_docs, dtype=np.int32), self.sizes)
+        del is_end, last
+        pairs, which = np.unique(context.astype(np.int64) * (n_words + 2) + token, return_inverse=True)
+        self.pair = which.astype(np.int32)
+        del which
         hashes = np.append(words.hashes(SEED)[:, 0], [_END, _BEGIN])
         left, right = hashes[pairs // (n_words + 2)], hashes[pairs % (n_words + 2)]
         one = X.scramble(hashes) | np.uint64(1)
@@ -151,7 +155,7 @@ def _grid(tokens: int):
         # A document's own counts: of its tokens, contexts and pairs.
         def own(number: np.ndarray) -> np.ndarray:
             _, which, times = np.unique(
-                grams.doc * (len(count) + 1) + number, return_inverse=True, return_counts=True
+                grams.doc.astype(np.int64) * (len(count) + 1) + number, return_inverse=True, return_counts=True
             )
             return times[which]
 
