@@ -337,7 +337,8 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("offset"))
-    return rows.join(offsets, "part").withColumn("start", F.col("offset") + F.col("first")).drop("offset")
+    # One row per part: the broadcast is as small as the number of parts.
+    return rows.join(F.broadcast(offsets), "part").withColumn("start", F.col("offset") + F.col("first")).drop("offset")
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
