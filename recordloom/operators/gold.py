@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..session import stage
 from .joins import within_radius
 from .merge import Sources
 from .numbering import Page, page as one_page, rank_within, succession_order, top
@@ -311,13 +312,14 @@ def statistics(
 ) -> DataFrame:
     """(section, key, n): totals, by source, by category, by country with the rest as Other.
 
-    The rows are reduced once to counts per (source, category, country); every section
-    sums those.
+    The rows are reduced once to counts per (source, category, country), which are
+    staged; every section sums those few rows.
     """
     measures = _measures(sources)
     base = flat.groupBy(
         "source_system", F.col(category).alias("category"), F.col("country").alias("country")
     ).agg(*[C.count_where(m).alias(n) for n, m in measures.items()])
+    base = stage(base, "statistics")
 
     totals = base.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in measures])
     entries = ", ".join(f"'{n}', {n}" for n in measures)

@@ -14,6 +14,7 @@ from recordloom.operators.joins import anti_not_in, through_bridge
 from recordloom.operators.shape import standardize
 from recordloom.plans import models
 from recordloom.plans import presets as P
+from recordloom.session import stage
 
 from .frames import SOURCES, raw_flat, raw_nested, table, with_feeds, with_links
 from .registry import query
@@ -128,7 +129,8 @@ merged AS (
 
 
 def merged_feeds(spark, sf_dir):
-    left, right = feeds(spark, sf_dir)
+    """Both rules, both remainders and the merge read the feeds, so they are written once."""
+    left, right = (stage(df, "feed") for df in feeds(spark, sf_dir))
     return models.merged(left, right, models.linked(left, right), SOURCES)
 
 
