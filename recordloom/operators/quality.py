@@ -195,6 +195,21 @@ def no_near_duplicates(dim: DataFrame, metres: float = 50, threshold: float = 0.
     return near_duplicates(dim, metres, threshold)
 
 
+def core_tests(identities: DataFrame, locations: DataFrame, addresses: DataFrame) -> list[DataTest]:
+    """What must hold between the core tables: keys, references, one current place, no leftovers."""
+    return [
+        DataTest("gold_id_unique", unique(identities, "gold_id")),
+        DataTest("location_id_unique", unique(locations, "location_id")),
+        DataTest("address_id_unique", unique(addresses, "address_id")),
+        DataTest("location_has_identity", relationships(locations, "gold_id", identities, "gold_id")),
+        DataTest("location_has_address", relationships(locations, "address_id", addresses, "address_id")),
+        DataTest("one_start_per_entity", unique_combination(locations, ["gold_id", "valid_from"])),
+        DataTest("dates_in_order", ordered_dates(locations)),
+        DataTest("one_current_location", single_current(locations)),
+        DataTest("no_near_duplicates", no_near_duplicates(addresses)),
+    ]
+
+
 def mapping_complete(sources: Mapping[str, DataFrame], mapping: DataFrame) -> DataFrame:
     """Source ids (by id column) that the mapping lacks."""
     parts = [

@@ -289,6 +289,14 @@ def with_gold(body: str, *more: str) -> str:
     return whole.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+def with_twins(dim):
+    """The dimension and, for every seventh address with coordinates, a twin still to merge."""
+    twins = dim.filter("address_id % 7 = 0 AND latitude IS NOT NULL AND longitude IS NOT NULL").withColumns(
+        {"address_id": F.col("address_id") + 10_000_000, "address_hash": F.md5(F.concat("address_hash", F.lit("twin")))}
+    )
+    return dim.unionByName(twins)
+
+
 def gold_tables(spark, sf_dir):
     """Mapping, identities, address rows, address dimension and first locations of one run.
 
@@ -431,10 +439,7 @@ FROM measured""",
 def pipeline_metrics(spark, sf_dir):
     mapping, _, clustered, dim, _, (left, right) = gold_tables(spark, sf_dir)
     missing = Q.mapping_complete({P.LEFT_ID: left, P.RIGHT_ID: right}, mapping)
-    twins = dim.filter("address_id % 7 = 0 AND latitude IS NOT NULL AND longitude IS NOT NULL").withColumns(
-        {"address_id": F.col("address_id") + 10_000_000, "address_hash": F.md5(F.concat("address_hash", F.lit("twin")))}
-    )
-    remaining = Q.no_near_duplicates(dim.unionByName(twins))
+    remaining = Q.no_near_duplicates(with_twins(dim))
     measured = Q.pipeline_metrics(
         clustered, dim, remaining, mapping, missing, reviewed(spark, sf_dir), P.LEFT_ID, P.RIGHT_ID
     )
@@ -467,3 +472,64 @@ def quality_report(spark, sf_dir):
     mapping, _, _, dim, _, _ = gold_tables(spark, sf_dir)
     lives = located(spark, sf_dir).withColumnRenamed("user_id", "gold_id")
     return Q.quality_report(mapping, reviewed(spark, sf_dir), lives, dim, dt.date(2024, 3, 1))
+
+
+# Faults: some locations are listed twice, some point nowhere, some end before they start.
+_FAULTY_SQL = f"""
+faulty AS (
+  SELECT location_id, gold_id, address_id, DATE '{AS_OF}' AS valid_from, CAST(NULL AS DATE) AS valid_to FROM locations
+  UNION ALL
+  SELECT location_id, gold_id, address_id, DATE '{AS_OF}', NULL FROM locations WHERE location_id % 10 = 0
+  UNION ALL
+  SELECT location_id + 1000000000, 'ghost_' || gold_id, -address_id, DATE '{AS_OF}', DATE '{AS_OF}' - 1 FROM locations
+  WHERE location_id % 15 = 0)"""
+
+
+@query(
+    with_gold(
+        """
+SELECT test, failures::BIGINT AS failures, if(failures = 0, 'pass', 'fail') AS status
+FROM (
+  SELECT 'gold_id_unique' AS test, count(*) - count(DISTINCT gold_id) AS failures FROM identity
+  UNION ALL SELECT 'location_id_unique', count(*) FROM (FROM faulty SELECT location_id GROUP BY ALL HAVING count(*) > 1)
+  UNION ALL SELECT 'address_id_unique', count(*) - count(DISTINCT address_id) FROM dim
+  UNION ALL SELECT 'location_has_identity', count(*) FROM faulty f WHERE NOT EXISTS (FROM identity i WHERE i.gold_id = f.gold_id)
+  UNION ALL SELECT 'location_has_address', count(*) FROM faulty f WHERE NOT EXISTS (FROM dim d WHERE d.address_id = f.address_id)
+  UNION ALL SELECT 'one_start_per_entity', count(*) FROM (FROM faulty SELECT gold_id, valid_from GROUP BY ALL HAVING count(*) > 1)
+  UNION ALL SELECT 'dates_in_order', count(*) FILTER (valid_to < valid_from) FROM faulty
+  UNION ALL SELECT 'one_current_location', count(*) FROM (FROM faulty SELECT gold_id GROUP BY gold_id HAVING count(*) > 1)
+  UNION ALL SELECT 'no_near_duplicates', 2 * (SELECT count(*) FROM dim
+    WHERE address_id % 7 = 0 AND latitude IS NOT NULL AND longitude IS NOT NULL))""",
+        _FAULTY_SQL,
+    )
+)
+def core_suite(spark, sf_dir):
+    """The tests of the core tables, over tables with faults."""
+    _, identities, _, dim, locations, _ = gold_tables(spark, sf_dir)
+    known = stage(locations, "locations")
+    ghosts = known.filter("location_id % 15 = 0").withColumns(
+        {
+            "location_id": F.col("location_id") + 1_000_000_000,
+            "gold_id": F.concat(F.lit("ghost_"), "gold_id"),
+            "address_id": -F.col("address_id"),
+            "valid_to": F.date_sub("valid_from", 1),
+            "is_current": F.lit(True),
+        }
+    )
+    faulty = known.unionByName(known.filter("location_id % 10 = 0")).unionByName(ghosts)
+    dim = stage(dim, "dim")
+    suite = Q.run_suite(Q.core_tests(identities, faulty, with_twins(dim)))
+    return suite
+
+
+@query(
+    with_feeds(
+        "SELECT brewery_id, partner_brewery_id, round(score, 9) AS name_similarity FROM flagged ORDER BY score DESC",
+        KEYS_SQL,
+        PAIRS_SQL,
+    )
+)
+def review_by_similarity(spark, sf_dir):
+    """The pending queue, most alike first."""
+    queue = L.by_similarity(reviewed(spark, sf_dir))
+    return queue.select("brewery_id", "partner_brewery_id", F.round("name_similarity", 9).alias("name_similarity"))
