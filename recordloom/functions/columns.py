@@ -172,7 +172,7 @@ def count_where(condition: Column) -> Column:
 def ordered_structs(order: Sequence[Column | str], fields: Mapping[str, Column | str]) -> Column:
     """Array of structs per group, sorted by ``order``.
 
-    The caller bounds the group (see ``operators.documents``): an array lives in
+    The caller bounds the group (see ``part_entries`` in ``operators/gold.py``): an array lives in
     one row.
     """
     keys = [as_column(o).alias(f"_o{i}") for i, o in enumerate(order)]

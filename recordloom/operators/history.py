@@ -148,7 +148,7 @@ def intervals(
 
     One row per key and date remains before the window, so a key's group is bounded
     by the number of snapshot dates.  So is the calendar, one row per distinct DATE,
-    which is what permits its broadcast and the window over it.
+    which is what permits the window over it.
     """
     day = F.to_date(date)
     pick = F.max_by(value, order) if order else F.min(value)
@@ -168,7 +168,7 @@ def intervals(
     starts = ~(before_value.eqNullSafe(F.col(value)) & (before_at == F.col("_at") - 1))
     starts = F.coalesce(starts, F.lit(True))
     runs = (
-        seen.join(F.broadcast(calendar), "_day")
+        seen.join(calendar, "_day")
         .withColumn("_starts", starts.cast("int"))
         .withColumn("_run", F.sum("_starts").over(per_key))
     )

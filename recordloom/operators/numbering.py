@@ -26,7 +26,8 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_n
     them.  The placed rows are staged, since sampled range bounds may differ when
     recomputed; then each partition adds the row count of those before it.  The
     offsets have one row per partition, which bounds both the window over them and
-    their broadcast.
+    their broadcast.  Every column of ``df`` is written with the number; where a unique
+    key can fetch them afterwards, number the keys alone, as ``page`` does.
     """
     order = [as_column(o) for o in order]
     placed = stage(
