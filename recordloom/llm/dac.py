@@ -41,9 +41,9 @@ MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT = 1 << 18  # tokens
 END = 0  # id after each document
-#: Pieces whose ids a task remembers, some 60 MB; beyond it the memory starts afresh.
-KNOWN_PIECES = 1_500_000
-SLICE = 32 << 20  # bytes of text that are encoded together
+#: Pieces whose ids a task remembers, some 20 MB; beyond it the memory starts afresh.
+KNOWN_PIECES = 500_000
+SLICE = 4 << 20  # bytes of text that are encoded together
 GROUP = 256  # new pieces that go to the tokenizer in one string
 
 SCHEMA = "first long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, codes binary"
