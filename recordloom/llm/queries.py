@@ -42,7 +42,7 @@ def op4_contextual_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.digest(private_data.personal_data(table(spark, sf_dir, "documents")))
 
 
-@query()
+@query(repeats.REPEATS_SQL)
 def op5_de_bruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), window=20)
 

@@ -276,3 +276,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """(doc_id, n_words, n_removed, kept_sha256) of every row."""
     found = repeated_spans(docs, window, id_col, text_col, **sizes)
     return found.filter("n_words IS NOT NULL").select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: The same by window texts: a window goes if its text stands earlier in the order of documents.
+REPEATS_SQL = """
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ),
+    windows AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)
+    ),
+    later AS (
+        SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) AS nth FROM windows)
+        WHERE nth > 1
+    ),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+    kept AS (
+        SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+        FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words) ANTI JOIN gone USING (doc_id, i)
+        GROUP BY doc_id
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM words LEFT JOIN kept USING (doc_id)
+"""
