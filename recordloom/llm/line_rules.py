@@ -7,9 +7,14 @@ copies of a text count once, so a text is not condemned by being copied.  Shared
 removed, and a document is rejected that fails the base rules or keeps less than
 ``least_left`` of its words.
 
-A host has at most (mean distinct lines of a text) / ``most_share`` shared lines, whatever its
-size, so one row per host holds them all; documents meet that row by a join on the host, and
-everything else about a document is decided where it is read.
+Shared lines are rows (host, line, texts that hold it), however many a host has.  The lines of
+the distinct texts meet them by a join on host and line, in which a line of more than
+``chunk_rows`` texts is cut in chunks by the text; what a text holds of them comes back to its
+documents by a join on host and text.  So no row and no task holds the lines of a host.
+
+The share loosens with the host: in one of more than ``most_docs`` / ``most_share`` distinct texts
+only the share acts.  It is part of the rule that ``RULES_SQL`` states; ``most_share=0`` leaves the
+absolute count alone.
 
 Defined cases: null texts have no words and fail the base rules; null hosts are one host;
 repeated rows get equal results; lines without a word are never shared and are kept; further
@@ -23,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,6 +39,7 @@ MOST_DOCS = 10
 MOST_SHARE = 0.02
 LEAST_LEFT = 0.3
 LEAST_WORDS = 50
+CHUNK_ROWS = 1024  # texts of one shared line that meet it in one task
 SYMBOLS = b"#*$%&|<>"
 _SHAPE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", b"abcdefghijklmnopqrstuvwxyz000000000")
 _NOT_SYMBOLS = bytes(b for b in range(256) if b not in SYMBOLS)
@@ -74,46 +80,61 @@ def figures(data: bytes) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), n_repeat_words(words)
 
 
+def _host(host: Column) -> Column:
+    """The host as text that is never null: a null host is one host."""
+    return F.coalesce(F.concat(F.lit("="), host.cast("string")), F.lit(""))
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("binary"), F.lit(b"")))
+
+
 def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, lines = [], []
-        for text in batch.column(1).cast(pa.binary()).to_pylist():
-            text = text or b""
-            texts.append(xxhash.xxh64_intdigest(text) >> 1)
-            lines.append(list({line_hash(line) for line in text.split(b"\n") if line.split(None, 1)}))
+        lines = []
+        for text in batch.column(2).cast(pa.binary()).to_pylist():
+            lines.append(list({line_hash(line) for line in (text or b"").split(b"\n") if line.split(None, 1)}))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(texts, pa.int64()), pa.array(lines, pa.list_(pa.int64()))],
-            names=["host", "text", "lines"],
+            [batch.column(0), batch.column(1), pa.array(lines, pa.list_(pa.int64()))], names=["host", "text", "lines"]
         )
 
 
-def shared_lines(
-    docs: DataFrame, text_col: str = "text", host_col: str = "source",
-    most_docs: int = MOST_DOCS, most_share: float = MOST_SHARE,
-) -> DataFrame:
-    """(host, lines): the hashes of the lines that a host's distinct texts share."""
-    hashed = stage(
-        docs.select(F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text")).mapInArrow(
-            _hash_lines, "host string, text long, lines array<long>"
-        ),
-        "lines",
+def text_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """(host, text, lines): the hashes of the distinct lines of every distinct text of a host."""
+    host, text = _host(F.col(host_col)), F.col(text_col)
+    hashed = docs.select(host.alias("host"), _text_key(text).alias("key"), text.alias("text")).mapInArrow(
+        _hash_lines, "host string, text long, lines array<long>"
     )
-    # Distinct (host, line, text) first: it spreads over the text, so no host or line is hot.
-    texts = hashed.select("host", "text").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    return stage(hashed.groupBy("host", "text").agg(F.first("lines").alias("lines")), "lines")
+
+
+def shared_lines(texts: DataFrame, most_docs: int = MOST_DOCS, most_share: float = MOST_SHARE) -> DataFrame:
+    """(host, line, docs): the lines that the texts of ``text_lines`` share, and how many hold each."""
+    sizes = texts.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("texts"))
     counts = (
-        hashed.select("host", "text", F.explode("lines").alias("line"))
-        .distinct()
+        texts.select("host", F.explode("lines").alias("line"))
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("docs"))
         .filter(F.col("docs") > most_docs)
     )
-    of = texts.withColumnRenamed("host", "of")
     return (
-        counts.join(of, counts["host"].eqNullSafe(of["of"]))
+        counts.join(sizes, counts["host"] == sizes["of"])
         .filter(F.col("docs") > F.col("texts") * F.lit(most_share))
-        .groupBy("host")
-        .agg(F.collect_list("line").alias("lines"))
+        .select("host", "line", "docs")
+    )
+
+
+def lines_to_remove(texts: DataFrame, shared: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(host, text, lines): the shared lines that each text holds, for texts with any."""
+    chunks = F.ceil(F.col("docs") / chunk_rows)
+    hot = stage(shared.filter(F.col("docs") > chunk_rows).select("host", "line", chunks.alias("chunks")), "hot-lines")
+    held = (
+        texts.select("host", "text", F.explode("lines").alias("line"))
+        .join(hot, ["host", "line"], "left")
+        .withColumn("chunk", F.pmod(F.xxhash64("text"), F.coalesce("chunks", F.lit(1))))
     )
+    met = shared.select("host", "line", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
+    return held.join(met, ["host", "line", "chunk"]).groupBy("host", "text").agg(F.collect_list("line").alias("lines"))
 
 
 RULES = (
@@ -126,7 +147,7 @@ _RULE_TYPES = pa.struct(
 
 
 def _judge(least_left: float, carried: int, text_at: int | None, name: str):
-    """Rows are the carried columns, then the text and the host's shared lines."""
+    """Rows are the carried columns, then the text and the shared lines that it holds."""
 
     def judge(data: bytes, shared: frozenset[int]) -> tuple[dict, bytes]:
         n, chars, symbols, dup_lines, repeats = figures(data)
@@ -162,16 +183,21 @@ def _judge(least_left: float, carried: int, text_at: int | None, name: str):
 def judged(
     docs: DataFrame, text_col: str = "text", host_col: str = "source", carry: list[str] | None = None,
     name: str = "rules", most_docs: int = MOST_DOCS, most_share: float = MOST_SHARE, least_left: float = LEAST_LEFT,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """The columns ``carry`` (all by default) and a struct ``name`` with figures and verdict.
 
     A carried text column comes without its shared lines.
     """
     carry = docs.columns if carry is None else carry
-    shared = shared_lines(docs, text_col, host_col, most_docs, most_share)
-    of, lines, text = free_names(docs, "of", "lines", "whole_text")
-    shared = stage(shared.select(F.col("host").alias(of), F.col("lines").alias(lines)), "shared-lines")
-    met = docs.join(shared, docs[host_col].cast("string").eqNullSafe(shared[of]), "left")
+    of, key, lines, text = free_names(docs, "of", "key", "lines", "whole_text")
+    texts = text_lines(docs, text_col, host_col)
+    shared = stage(shared_lines(texts, most_docs, most_share), "shared-lines")
+    held = lines_to_remove(texts, shared, chunk_rows).withColumnsRenamed({"host": of, "text": key, "lines": lines})
+    held = stage(held, "held-lines")
+    same = (_host(docs[host_col]) == held[of]) & (_text_key(docs[text_col]) == held[key])
+    # Merged at any size, so that disk grows with the input and skewed copies are split by bytes.
+    met = docs.join(held.hint("merge"), same, "left")
     rows = met.select(*carry, F.col(text_col).alias(text), lines)
     fields = docs.select(*carry).schema.add(name, StructType.fromDDL(RULES))
     text_at = carry.index(text_col) if text_col in carry else None

@@ -95,6 +95,15 @@ def test_shared_lines_go_and_depleted_documents_fail(shared):
     assert texts[60].text.endswith("today") and texts[60].n_chars == len(texts[60].text)
 
 
+@pytest.mark.parametrize("limits", [{"most_share": 0.1}, {"most_share": 0.0}])
+def test_shared_lines_are_rows_and_hot_lines_are_cut(shared, limits):
+    texts = line_rules.text_lines(shared)
+    assert texts.count() == 8 + 6 + 1 + 1  # copies once
+    rows = line_rules.shared_lines(texts, most_docs=4, **limits).collect()
+    assert sorted(r.docs for r in rows) == [6, 6, 6, 6, 8] and len({(r.host, r.line) for r in rows}) == 5
+    check(shared, most_docs=4, chunk_rows=3, **limits)
+
+
 def test_many_distinct_words_do_not_mix_up_triples(docs_of):
     check(docs_of([(1, words(3000) + " " + words(200, 40), "a")]))
 
