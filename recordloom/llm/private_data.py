@@ -2,8 +2,13 @@
 
 DataFrame functions only.  The fixed patterns give emails, ip addresses, card and phone numbers.
 These are the seeds.  Words left of a seed are lexical patterns (the last word, the last two);
-identifier-like runs (four digits or more) that no seed covers are candidates and have such
-patterns too.  Patterns and distinct identifiers form a graph, scored in ``ROUNDS`` rounds:
+identifier-like runs (four digits or more) and groups that no seed covers are candidates and have
+such patterns too.  A group is a run of four digits or more with the runs that one space, slash, colon or
+bracket (and a space, slash, dot or dash beside it) joins to it, digit to digit; an IBAN written in
+groups; a run of hexadecimal groups and colons; or an email-like form (``a@b``, ``a(at)b``, ``a[at]b``).  The digits count over the whole group; with
+fewer, an identifier says nothing, and being named once it would be masked wherever it stands.
+A candidate inside a larger one can be named, but does not count as an identifier of a pattern,
+and yields to the larger one if both are named.  Patterns and distinct identifiers form a graph, scored in ``ROUNDS`` rounds:
 
     pattern     sum of the scores of its identifiers of a kind / (its identifiers + ``DOUBT``)
     identifier  1 - product over its patterns at ``CONFIDENT`` or more of (1 - score)
@@ -36,6 +41,8 @@ DOUBT = 2.0
 CONFIDENT = 0.7
 
 _IN_NUMBER, _IN_NAME, _OTHER = "\ue000", "\ue001", "\ue002"
+_IN_GROUP, _BRACKET, _COLON = "\ue003", "\ue004", "\ue005"
+_PRIVATE = _IN_NUMBER + _IN_NAME + _IN_GROUP + _BRACKET + _COLON
 _EMAIL = (
     rf"(?:\G|(?<![A-Za-z0-9._%+{_IN_NAME}-]))[A-Za-z0-9._%+{_IN_NAME}-]++"
     rf"@[A-Za-z0-9-]+{_IN_NAME}[A-Za-z0-9{_IN_NAME}-]+"
@@ -44,6 +51,22 @@ _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = rf"[0-9][0-9{_IN_NUMBER}]+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _CANDIDATE = r"(?<![A-Za-z0-9._@+-])(?:[A-Za-z._@+-]*+[0-9]){4}[A-Za-z0-9._@+-]*+"
+_IN_RUN = rf"A-Za-z0-9._@+{_IN_GROUP}{_BRACKET}{_COLON}-"
+_AT = r"(?:@|\x20?[(\[](?:at|AT)[)\]]\x20?)"
+_GROUP = (
+    rf"(?<![%{_IN_RUN}])(?:[A-Za-z0-9._%+-]++{_AT}[A-Za-z0-9][A-Za-z0-9.-]*+"
+    rf"|(?=[A-Fa-f:{_COLON}]*+[0-9])(?=(?:[:{_COLON}]*+[0-9A-Fa-f]){{4}})(?:[0-9A-Fa-f]{{0,4}}[:{_COLON}]){{2,7}}[0-9A-Fa-f]{{0,4}}(?![{_IN_RUN[:-1]}:-])"
+    rf"|(?:[(\[](?=[0-9]++{_BRACKET}))?(?:[A-Za-z._@+{_IN_GROUP}{_BRACKET}{_COLON}-]*+[0-9]){{4}}[{_IN_RUN}]*+)"
+)
+#: What joins the runs of a group, each with the character of the same length that replaces it.
+_JOINS = (
+    (r"(?<=[0-9])[)\]](?=[\x20./-]?[0-9])", _BRACKET),
+    (rf"(?:(?<=[0-9])|(?<=[0-9][\x20./-]))[(\[](?=[0-9]++{_BRACKET})", _BRACKET),
+    (rf"(?<=[0-9{_BRACKET}])[\x20/](?=[0-9{_BRACKET}])", _IN_GROUP),
+    (r"(?<=[0-9]):(?=[0-9])", _COLON),
+    (r"(?<=\b[A-Z]{2}[0-9]{2})\x20(?=[A-Z]{4}\x20[0-9])", _IN_GROUP),
+    (rf"(?<=[A-Z]{{2}}[0-9]{{2}}{_IN_GROUP}[A-Z]{{4}})\x20(?=[0-9])", _IN_GROUP),
+)
 _BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _LEFT = 80  # characters before a match in which its two words are looked for
 
@@ -99,9 +122,10 @@ def _patterns() -> Column:
 def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(row, doc_id, hits): matches of every pattern in every whole text."""
     text = F.coalesce(text_col, F.lit(""))
-    plain = F.translate(text, _IN_NUMBER + _IN_NAME, _OTHER + _OTHER)
+    plain = F.translate(text, _PRIVATE, _OTHER * len(_PRIVATE))
     numbers = F.regexp_replace(plain, r"(?<=[0-9])[\x20-](?=[0-9])", _IN_NUMBER)
     names = F.regexp_replace(plain, r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])", _IN_NAME)
+    groups = reduce(lambda t, join: F.regexp_replace(t, *join), _JOINS, plain)
     digit = text.rlike("[0-9]")
     hits = F.concat(
         _hits(names, _EMAIL, "email", F.contains(text, F.lit("@"))),
@@ -109,6 +133,7 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         _hits(numbers, _CARD, "card", digit),
         _hits(plain, _PHONE, "phone", F.contains(text, F.lit("+"))),
         _hits(plain, _CANDIDATE, "candidate", digit),
+        _hits(groups, _GROUP, "group", digit | text.rlike(_AT)),
     )
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), hits.alias("hits"))
 
@@ -120,10 +145,10 @@ def _placed(found: DataFrame) -> DataFrame:
     end = F.sum(F.col("gap") + F.length("m")).over(run)
     placed = hits.withColumn("end", end).withColumn("start", F.col("end") - F.length("m"))
     # A stop at the end of a run of characters belongs to the sentence.
-    tail = F.length(F.regexp_extract("m", r"[._+-]+\z", 0))
-    is_candidate = F.col("kind") == "candidate"
+    tail = F.length(F.regexp_extract("m", r"[._+:-]+\z", 0))
+    is_candidate = F.col("kind").isin("candidate", "group")
     return placed.filter(is_candidate | _valid()).select(
-        "row", "kind", "start",
+        "row", F.when(is_candidate, F.lit("candidate")).otherwise(F.col("kind")).alias("kind"), "start",
         F.when(is_candidate, F.col("end") - tail).otherwise(F.col("end")).alias("end"),
         F.when(is_candidate, F.substring(F.col("m"), F.lit(1), F.length("m") - tail)).otherwise(F.col("m")).alias("m"),
         _patterns().alias("patterns"),
@@ -131,26 +156,35 @@ def _placed(found: DataFrame) -> DataFrame:
 
 
 def _uncovered(placed: DataFrame) -> DataFrame:
-    """Seeds, and the candidates that overlap none of them."""
+    """Seeds, and the candidates that overlap none of them; ``inner`` if they lie in a larger or equal one."""
     by_start = Window.partitionBy("row").orderBy("start", "end")
     is_seed = F.col("kind") != "candidate"
     before = F.max(F.when(is_seed, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     after = F.min(F.when(is_seed, F.col("start"))).over(by_start.rangeBetween(Window.currentRow, Window.unboundedFollowing))
     clear = (F.coalesce(before, F.lit(-1)) <= F.col("start")) & (F.coalesce(after, F.col("end")) >= F.col("end"))
-    return placed.withColumn("clear", clear).filter(is_seed | F.col("clear")).drop("clear")
+    spans = placed.withColumn("clear", clear).filter(is_seed | F.col("clear")).drop("clear")
+    return spans.withColumn("inner", ~is_seed & _inside(["row", is_seed]))
+
+
+def _inside(keys: list) -> Column:
+    """Whether a span lies in another one with the same keys; of equal spans all but one do."""
+    before = Window.partitionBy(*keys).orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.max("end").over(before) >= F.col("end"), F.lit(False))
 
 
 def discovered(spans: DataFrame, rounds: int = ROUNDS, doubt: float = DOUBT, confident: float = CONFIDENT) -> DataFrame:
     """(m, kind): candidates that confident patterns name, with their best kind."""
-    edges = stage(spans.select("m", F.explode("patterns").alias("pattern")).distinct(), "context-edges")
-    degree = stage(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "context-degrees")
+    edges = spans.select("m", F.explode("patterns").alias("pattern"), "inner").groupBy("m", "pattern")
+    edges = stage(edges.agg(F.min("inner").alias("inner")), "context-edges")
+    counted = edges.filter(~F.col("inner"))
+    degree = stage(counted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "context-degrees")
     seeds = stage(
         spans.filter("kind <> 'candidate'").select("m", "kind").distinct().withColumn("score", F.lit(1.0)), "context-seeds"
     )
     scores = seeds
     for _ in range(rounds):
         patterns = (
-            edges.join(scores, "m")
+            counted.join(scores, "m")
             .groupBy("pattern", "kind")
             .agg(F.sum("score").alias("total"))
             .join(degree, "pattern")
@@ -190,6 +224,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         spans.filter("kind = 'candidate'")
         .drop("kind")
         .join(named, "m")
+        .withColumn("inner", _inside(["row"]))
+        .filter(~F.col("inner"))
         .select("row", "kind", "start", "end", F.lit(False).alias("base"))
     )
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))

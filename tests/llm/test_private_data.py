@@ -86,6 +86,25 @@ def test_confident_contexts_find_unseen_identifiers(docs_of):
     assert all(found[i][6] == f"phone:21:{21 + 17}" for i in range(30))
 
 
+def test_groups_and_email_like_forms_are_found_whole(docs_of):
+    left = {"phone": "please call me under ", "card": "charged to my card ", "email": "write me an email at ", "ip": "the host with address "}
+    seed = {"phone": "+1 ({}) 555-1000", "email": "u{}@host.com", "ip": "10.0.0.{}"}
+    rows = [(1000 * k + i, left[x] + seed[x].format(200 + i) + " soon", "a") for k, x in enumerate(seed) for i in range(30)]
+    cards = [n for n in range(4 * 10**15, 4 * 10**15 + 400) if luhn(str(n))][:30]
+    rows += [(5000 + i, f"{left['card']}{n} soon", "a") for i, n in enumerate(cards)]
+    unseen = [("phone", x) for x in ("030 123 4567", "(030) 123 4567", "030/123-4567", "030 (12) 3456", "0555123456")]
+    unseen += [("card", x) for x in ("1234 5678 9012 3456", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32")]
+    unseen += [("email", x) for x in ("john.smith@localhost", "john(at)example.org", "john [at] example.org")]
+    unseen += [("ip", "2001:db8::ff00:42:8329"), ("ip", "00:1A:2B:3C:4D:5E")]
+    rows += [(9000 + i, left[kind] + x + " soon", "a") for i, (kind, x) in enumerate(unseen)]
+    rows += [(9900, "there were 040 765 4321 of a@b (12) 5 left", "a"), (9901, left["phone"] + "12 or", "a")]
+    found = {r[0]: r[6] for r in check(docs_of(rows))}
+    for i, (kind, x) in enumerate(unseen):
+        start = len(left[kind])
+        assert found[9000 + i] == f"{kind}:{start}:{start + len(x)}", x
+    assert found[9900] == found[9901] == ""
+
+
 def test_masked_texts(docs_of):
     docs = docs_of([(1, "Öl an a@b.de und 10.0.0.1!", "a"), (2, None, "a"), (None, "x 10.0.0.2", "a")])
     assert {r.doc_id: r.text for r in private_data.masked(docs).collect()} == {
