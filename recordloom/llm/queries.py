@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import dac, decontaminate, hilbert, language_model, line_rules, mil, mixing, private_data, repeats, simhash
+from . import (
+    chat, dac, decontaminate, hilbert, language_model, line_rules, mil, mixing, private_data, repeats, runs, simhash,
+)
 from .common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -90,3 +92,19 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query(runs.RUNS_SQL)
+def op11_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return runs.digests(runs.periodic_runs(planted, carry=["doc_id"]))
+
+
+@query(chat.CHATS_SQL)
+def op13_chat_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    path = new_path(spark, "chats")
+    chat.write_chats(turns.unionByName(probe), path)
+    return chat.digests(chat.read_chats(spark, path)).withColumnRenamed("conv", "conv_id")
