@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_path
 from . import (
-    chat, dac, decontaminate, hilbert, language_model, line_rules, mil, mixing, private_data, repeats, runs, simhash,
+    chat, dac, decontaminate, hilbert, language_model, line_rules, mil, mixing, phrases, private_data, repeats, runs, simhash,
 )
 from .common import ORACLES, QUERIES, query, table
 
@@ -100,6 +100,11 @@ def op11_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.periodic_runs(planted, carry=["doc_id"]))
 
 
+@query(phrases.PHRASES_SQL)
+def op12_misra_gries_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @query(chat.CHATS_SQL)
 def op13_chat_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
