@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..session import stage
+from .lasting import resolved
 from .merge import Sources
 from .numbering import best_per, number_rows
 from .shape import stack
@@ -73,16 +74,26 @@ def scd2_initial(locations: DataFrame, as_of: dt.date) -> DataFrame:
     return number_rows(opened, ["gold_id"], "location_id").select("location_id", *LOCATION_COLUMNS)
 
 
-def scd2_apply(history: DataFrame, snapshot: DataFrame, as_of: dt.date) -> DataFrame:
+def scd2_apply(
+    history: DataFrame, snapshot: DataFrame, as_of: dt.date, roots: DataFrame | None = None
+) -> DataFrame:
     """History after a new snapshot of ``current_locations``.
 
+    Address ids must last over runs.  ``roots`` holds (id, root) for ids that gave way to others
+    since (``IdRegistry.roots``): who is at such an address has not moved, and its open
+    row goes on under the id that is left.  Closed rows keep the ids they were written with.
+
     Gone entities close, moved ones close and open, new and returning ones open,
     the rest stays.  Closed rows pass through without a shuffle; the others meet in
     one full join.  A row opened on ``as_of`` itself is replaced rather than closed.
     A repeated entity in the snapshot counts once, at its lowest address id.
     """
     closed = history.filter(~F.col("is_current"))
-    open_ = history.filter("is_current").select(
+    still_open = history.filter("is_current")
+    if roots is not None:
+        still_open = resolved(still_open, roots, "address_id")
+        snapshot = resolved(snapshot, roots, "address_id")
+    open_ = still_open.select(
         "gold_id", F.struct("location_id", *LOCATION_COLUMNS[1:]).alias("old")
     )
     incoming = best_per(

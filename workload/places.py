@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import functions as F
 
 from recordloom.functions.addresses import address_hash, normalize_address, normalize_postal
 from recordloom.functions.geo import METRES_PER_MILE
 from recordloom.operators import addresses as A
+from recordloom.operators import history as H
 from recordloom.operators import joins as J
 from recordloom.operators import linkage as L
+from recordloom.operators.lasting import IdRegistry, resolved
+from recordloom.session import new_path
 
 from .frames import table
 from .registry import query
@@ -306,3 +312,115 @@ def postal_codes(spark, sf_dir):
         "ELSE lpad(CAST(s_suppkey AS STRING), 9, '4') END"
     )
     return table(spark, sf_dir, "supplier").select("s_suppkey", normalize_postal(code).alias("postal"))
+
+
+# Two snapshots of the places.  The second one adds the parts of the month's last ten days, some
+# parts have moved and some are gone.
+MOVED = {
+    "entity": "p_partkey",
+    "kind": "p_size <= 25",
+    "p_partkey": "CASE WHEN p_partkey % 13 = 5 THEN p_partkey + 1 ELSE p_partkey END",
+    "p_size": "CASE WHEN p_partkey % 13 = 5 THEN p_size % 50 + 1 ELSE p_size END",
+    "p_name": "p_name",
+    "p_type": "p_type",
+}
+BEFORE, AFTER = dt.date(2024, 1, 21), dt.date(2024, 2, 1)
+_THEN = {**PLACE, "part_id": "CAST(entity AS STRING)"}
+
+
+def _suffixed(sql: str, suffix: str) -> str:
+    """The expressions under names of their own."""
+    for name in ("places", "staged", "parts", "addr", "spots", "streets", "edges", "reach", "clusters"):
+        sql = re.sub(rf"\b{name}\b", f"{name}_{suffix}", sql)
+    return sql
+
+
+LASTING_SQL = ",\n".join(
+    part.strip()
+    for part in (
+        f"""
+staged_a AS (
+  SELECT CASE WHEN p_size <= 25 THEN 'first' ELSE 'second' END AS source_system, part_id AS source_id, street_address,
+         city, state_province, postal_code, country, latitude, longitude
+  FROM (SELECT p_size, p_partkey, {_PLACE_SQL} FROM part)
+  WHERE street_address IS NOT NULL AND p_partkey % 30 < 20)""",
+        _suffixed(norm_sql("staged"), "a"),
+        _suffixed(CLUSTERS_SQL, "a"),
+        f"""
+staged_now AS (
+  SELECT CASE WHEN kind THEN 'first' ELSE 'second' END AS source_system, part_id AS source_id, street_address,
+         city, state_province, postal_code, country, latitude, longitude
+  FROM (SELECT kind, entity, {_PLACE_SQL.replace(PLACE["part_id"], _THEN["part_id"])}
+        FROM (SELECT {", ".join(f"{e} AS {n}" for n, e in MOVED.items())} FROM part))
+  WHERE street_address IS NOT NULL AND entity % 19 <> 7),
+staged_b AS (SELECT *, true AS now FROM staged_now UNION ALL SELECT *, false FROM staged_a)""",
+        _suffixed(norm_sql("staged"), "b"),
+        _suffixed(CLUSTERS_SQL, "b"),
+        f"""
+ids_a AS (SELECT cluster_id, row_number() OVER (ORDER BY cluster_id) AS id FROM (SELECT DISTINCT cluster_id FROM clusters_a)),
+keys_a AS (SELECT address_hash, id FROM clusters_a JOIN ids_a USING (cluster_id)),
+held AS (SELECT cluster_id, min(id) AS id FROM clusters_b LEFT JOIN keys_a USING (address_hash) GROUP BY cluster_id),
+ids_b AS (
+  SELECT cluster_id, id FROM held WHERE id IS NOT NULL
+  UNION ALL
+  SELECT cluster_id, (SELECT max(id) FROM ids_a) + row_number() OVER (ORDER BY cluster_id) FROM held WHERE id IS NULL),
+keys_b AS (SELECT address_hash, id FROM clusters_b JOIN ids_b USING (cluster_id)),
+roots AS (SELECT DISTINCT a.id, b.id AS root FROM keys_a a JOIN keys_b b USING (address_hash)),
+was AS (
+  SELECT row_number() OVER (ORDER BY source_id) AS location_id, source_id AS gold_id, root AS address_id, source_system
+  FROM addr_a JOIN keys_a USING (address_hash) JOIN roots USING (id)),
+is_at AS (SELECT source_id AS gold_id, id AS address_id, source_system FROM addr_b JOIN keys_b USING (address_hash) WHERE now),
+stays AS (SELECT gold_id FROM was JOIN is_at USING (gold_id, address_id)),
+lasting AS (
+  SELECT location_id, gold_id, address_id, DATE '{BEFORE}' AS valid_from,
+         CASE WHEN gold_id NOT IN (FROM stays) THEN DATE '{AFTER}' - 1 END AS valid_to,
+         gold_id IN (FROM stays) AS is_current, source_system
+  FROM was
+  UNION ALL
+  SELECT (SELECT max(location_id) FROM was) + row_number() OVER (ORDER BY gold_id), gold_id, address_id,
+         DATE '{AFTER}', NULL, true, source_system
+  FROM is_at WHERE gold_id NOT IN (FROM stays))""",
+    )
+)
+
+
+def _snapshots(spark, sf_dir):
+    """Staged addresses of the two snapshots."""
+    part = table(spark, sf_dir, "part")
+    early = part.filter("p_partkey % 30 < 20").selectExpr(
+        "p_size <= 25 AS kind", *[f"{e} AS {n}" for n, e in PLACE.items()]
+    )
+    late = part.selectExpr(*[f"{e} AS {n}" for n, e in MOVED.items()]).filter("entity % 19 <> 7")
+    late = late.selectExpr("kind", *[f"{e} AS {n}" for n, e in _THEN.items()])
+    return [
+        A.stage_addresses(
+            {"first": df.filter("kind"), "second": df.filter("NOT kind")},
+            {"first": "part_id", "second": "part_id"},
+            "seen_on",
+        )
+        for df in (early, late)
+    ]
+
+
+def _located(clustered, ids):
+    """Where the entities of a snapshot are."""
+    dim = A.address_dim(clustered, ("first", "second"), ids)
+    return A.address_members(clustered, dim).select(
+        F.col("source_id").alias("gold_id"), "address_id", "source_system", F.lit(1.0).alias("match_confidence")
+    )
+
+
+@query(recursive("SELECT * FROM lasting", LASTING_SQL))
+def lasting_address_ids(spark, sf_dir):
+    """Two runs, from addresses to dated locations: only who moved, went or came has a new row."""
+    early, late = (A.normalized(df) for df in _snapshots(spark, sf_dir))
+    registry = IdRegistry(spark, new_path(spark, "address-ids"))
+    first = A.cluster_addresses(early)
+    history = H.scd2_initial(_located(first, registry.assign(first, "address_hash", "cluster_id")), BEFORE)
+    # Addresses that were known once keep connecting those of later runs.
+    known = A.cluster_addresses(late.withColumn("now", F.lit(True)).unionByName(early.withColumn("now", F.lit(False))))
+    ids = registry.assign(known, "address_hash", "cluster_id")
+    now = _located(known.filter("now").drop("now"), ids)
+    roots = registry.roots()
+    state = resolved(H.scd2_apply(history, now, AFTER, roots), roots, "address_id")
+    return state.drop("match_confidence")
