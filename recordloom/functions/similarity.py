@@ -7,6 +7,8 @@ pairs reach it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,6 +37,14 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, offsets[:-1], np.diff(offsets)
 
 
+def byte_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and value of every byte of a string array, and the byte lengths."""
+    raw, starts, lengths = _bytes_of(column)
+    first = int(starts[0]) if len(column) else 0
+    values = raw[first : first + int(lengths.sum())].astype(np.int64)
+    return np.repeat(np.arange(len(column)), lengths), values, lengths
+
+
 def _matrix(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Byte rows padded to a common width with 255, which no UTF-8 text contains."""
     width = max(int(lengths.max(initial=0)), 1)
@@ -271,3 +281,32 @@ def could_exceed(left: str, right: str, threshold: float) -> Column:
         & ((la - only_in(left, right)) * total > share * la * lb)
         & ((lb - only_in(right, left)) * total > share * la * lb)
     )
+
+
+_BOUND_ROWS = 256  # texts whose pairs are ruled out together
+
+
+def exceeding_pairs(
+    sizes: np.ndarray, head: np.ndarray, bits: np.ndarray, side: np.ndarray | None, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs a < b of rows that ``could_exceed`` lets pass, in parts; with ``side``, of different sides only."""
+    needs = np.array([3 * (threshold - p * PREFIX_WEIGHT) / (1 - p * PREFIX_WEIGHT) - 1 - 1e-9 for p in range(5)])
+    n, head, sizes = len(sizes), head.astype(np.uint32), sizes.astype(np.int64)
+    for low in range(0, n, _BOUND_ROWS):
+        mine = slice(low, min(low + _BOUND_ROWS, n))
+        differing = head[mine, None] ^ head[None, :]
+        equal = (differing == 0) * 1 + (differing >> 8 == 0) + (differing >> 16 == 0) + (differing >> 24 == 0)
+        share = needs[equal]
+        la, lb = sizes[mine, None], sizes[None, :]
+        pass_ = (la + lb) > share * np.maximum(la, lb)
+        pass_ &= np.arange(low, mine.stop)[:, None] < np.arange(n)[None, :]
+        if side is not None:
+            pass_ &= side[mine, None] != side[None, :]
+        a, b = np.nonzero(pass_)
+        a += low
+        only_a = np.bitwise_count(bits[a] & ~bits[b]).sum(1, dtype=np.int64)
+        only_b = np.bitwise_count(bits[b] & ~bits[a]).sum(1, dtype=np.int64)
+        la, lb = sizes[a], sizes[b]
+        least = share[a - low, b] * la * lb
+        good = ((la - only_a) * (la + lb) > least) & ((lb - only_b) * (la + lb) > least)
+        yield a[good], b[good]

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import create_file, list_names, path_exists, stage
+from ..runs import RunFolder
+from ..session import stage
 from .numbering import best_per, number_rows
 from .shape import stack
 
@@ -37,7 +38,8 @@ def current_ids(registry: DataFrame) -> DataFrame:
 def roots(aliases: DataFrame) -> DataFrame:
     """(id, root): where every id that gave way leads in the end, by pointer jumping.
 
-    An id gives way once and to a lower one, so each jump halves what is left of the chains.
+    An id gives way to a lower one, so there are no circles, and each jump halves what is left
+    of the chains.
     """
     links = stage(aliases.groupBy("id").agg(F.min("target").alias("root")), "aliases")
     while True:
@@ -96,61 +98,26 @@ def assign_ids(
     return Assigned(ids.withColumnRenamed("group", group), stage(keys, "new-keys"), stage(gave_way, "new-aliases"))
 
 
-_ACCEPTED = "_ACCEPTED"
-_BASE = "_BASE"
-
-
-@dataclass(frozen=True)
 class IdRegistry:
-    """The registry and its aliases in a folder, one subfolder per run.
+    """The registry and its aliases in a folder of runs.
 
-    A run counts once its marker file exists, which is made last.  ``compact`` writes the state
-    as a run of its own that makes earlier ones unnecessary, so readers list few folders.
+    ``compact`` writes the state as a base run, so that readers list few folders.
     """
 
-    spark: SparkSession
-    path: str
-
-    def runs(self) -> list[int]:
-        """Numbers of the runs that count, from the newest compacted one on."""
-        names = list_names(self.spark, self.path) if path_exists(self.spark, self.path) else []
-        done = sorted(int(n[4:]) for n in names if n.startswith("run-") and self._has(int(n[4:]), _ACCEPTED))
-        bases = [n for n in done if self._has(n, _BASE)]
-        return [n for n in done if not bases or n >= bases[-1]]
-
-    def _folder(self, run: int) -> str:
-        return f"{self.path}/run-{run:09d}"
-
-    def _has(self, run: int, marker: str) -> bool:
-        return path_exists(self.spark, f"{self._folder(run)}/{marker}")
-
-    def _read(self, part: str, schema: str) -> DataFrame:
-        paths = [f"{self._folder(n)}/{part}" for n in self.runs()]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+    def __init__(self, spark: SparkSession, path: str):
+        self.runs = RunFolder(spark, path)
 
     def keys(self) -> DataFrame:
-        return self._read("keys", REGISTRY_SCHEMA)
+        return self.runs.read("keys", REGISTRY_SCHEMA)
 
     def aliases(self) -> DataFrame:
-        return self._read("aliases", ALIAS_SCHEMA)
-
-    def next_run(self) -> int:
-        names = list_names(self.spark, self.path) if path_exists(self.spark, self.path) else []
-        return 1 + max((int(n[4:]) for n in names if n.startswith("run-")), default=0)
-
-    def _write(self, run: int, keys: DataFrame, aliases: DataFrame, *markers: str) -> None:
-        keys.write.parquet(f"{self._folder(run)}/keys")
-        aliases.write.parquet(f"{self._folder(run)}/aliases")
-        for marker in (*markers, _ACCEPTED):
-            create_file(self.spark, f"{self._folder(run)}/{marker}")
+        return self.runs.read("aliases", ALIAS_SCHEMA)
 
     def assign(self, members: DataFrame, key: str, group: str) -> DataFrame:
         """(group, id) of the groups of this run; what is new about them is kept for the next one."""
-        run = self.next_run()
+        run = self.runs.next_number()
         found = assign_ids(members, self.keys(), self.aliases(), run, key, group)
-        self._write(run, found.keys, found.aliases)
+        self.runs.write(run, {"keys": found.keys, "aliases": found.aliases})
         return found.ids
 
     def roots(self) -> DataFrame:
@@ -158,8 +125,8 @@ class IdRegistry:
 
     def compact(self) -> None:
         """One run that holds each key once, with the id it leads to, and each alias with its end."""
-        run = self.next_run()
+        run = self.runs.next_number()
         ends = self.roots()
         at = F.lit(run).cast("bigint").alias("run")
         keys = resolved(current_ids(self.keys()), ends, "id").select("key", "id", at)
-        self._write(run, keys, ends.select("id", F.col("root").alias("target"), at), _BASE)
+        self.runs.write(run, {"keys": keys, "aliases": ends.select("id", F.col("root").alias("target"), at)}, base=True)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,13 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.geo import haversine_m
 from ..functions.similarity import (
-    PREFIX_WEIGHT,
     SIGNATURE_COLUMNS,
     could_exceed,
     jaro_winkler,
     with_signature,
 )
 from ..session import stage
+from . import text_index
 from .joins import CHUNK_ROWS, anti_not_in, hot_keys, split_hot_keys
 from .numbering import number_rows
 from .shape import stack
@@ -27,6 +26,8 @@ from .shape import stack
 # Distinct texts of one block that meet in one task, per side: the default of ``text_rows``.
 # A pair here costs far more than the bytes of its two rows, so chunks are small.
 SCORED_CHUNK_ROWS = 512
+# Text pairs of a block up to which counting postings is not worth it: the default of ``index_pairs``.
+INDEX_PAIRS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -80,24 +81,79 @@ def exact_pairs(
     return a.join(b, on).select(left_id, right_id)
 
 
-def _banded(a: DataFrame, b: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Add ``_band`` to both sides so that texts of hopeless lengths never meet.
+def _sketched(df: DataFrame, block: Sequence[str], text: str) -> DataFrame:
+    """Distinct texts by block with their sketches and an id; staged, since several steps read them."""
+    texts = df.select(*block, F.col(text).alias("_text")).dropna().distinct()
+    rows = with_signature(texts, "_text").filter("size > 0")
+    return stage(rows.withColumn("_id", F.monotonically_increasing_id()), "texts")
 
-    Jaro is at most (2 + r) / 3 for a length ratio r, and four common first letters
-    raise it to at most 0.4 + 0.6 of that.  A pair above the threshold thus has at
-    least the ratio r below; its logarithmic bands are equal or neighbours.  The left
-    side has its own band, the right side three, so a pair meets once.
+
+def _side(df: DataFrame, suffix: str) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{c}_{suffix}" for c in ("_id", "_text", *SIGNATURE_COLUMNS)})
+
+
+def _met_by_product(a: DataFrame, b: DataFrame, block: Sequence[str], threshold: float, text_rows: int) -> DataFrame:
+    """(block, _text_a, _text_b) of blocks whose texts all meet, large ones chunk by chunk.
+
+    The native bound is part of the join condition, so pairs it rules out never leave the join.
     """
-    boost = 4 * PREFIX_WEIGHT
-    ratio = 3 * (threshold - boost) / (1 - boost) - 2 - 1e-9
-    if ratio <= 0:
-        return a.withColumn("_band", F.lit(0)), b.withColumn("_band", F.lit(0))
+    a, b = _side(a, "a"), _side(b, "b")
+    hot = hot_keys(a, b, block, text_rows)
+    # The work here is pairs, not bytes: an explicit count keeps the partitions from
+    # being merged, with one for every pair of chunks.
+    chunk_pairs = hot.agg(F.sum(F.col("_left_chunks") * F.col("_right_chunks"))).first()[0] or 0
+    spark = a.sparkSession
+    parts = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        4 * spark.sparkContext.defaultParallelism,
+        int(chunk_pairs),
+    )
+    a, b, keys = split_hot_keys(a, b, block, F.col("_text_a"), F.col("_text_b"), text_rows, hot)
+    a, b = a.repartition(parts, *keys), b.repartition(parts, *keys)
+    return a.join(b, keys).filter(could_exceed("a", "b", threshold)).select(*block, "_text_a", "_text_b")
 
-    def band(size: str) -> Column:
-        return F.floor(F.ln(F.col(size)) / F.lit(math.log(1 / ratio))).cast("int")
 
-    near = F.explode(F.sequence(band("size_b") - 1, band("size_b") + 1))
-    return a.withColumn("_band", band("size_a")), b.withColumn("_band", near)
+def _met_by_index(
+    a: DataFrame, b: DataFrame, posted: tuple[DataFrame, DataFrame], block: Sequence[str], threshold: float
+) -> DataFrame:
+    """(block, _text_a, _text_b) of pairs that meet in the index; texts are fetched for what is left."""
+    ids = text_index.candidates(*posted, block, threshold)
+    left = a.select(*block, F.col("_id").alias("_id_a"), F.col("_text").alias("_text_a"))
+    right = b.select(*block, F.col("_id").alias("_id_b"), F.col("_text").alias("_text_b"))
+    return ids.join(left, [*block, "_id_a"]).join(right, [*block, "_id_b"]).select(*block, "_text_a", "_text_b")
+
+
+def candidate_texts(
+    a: DataFrame, b: DataFrame, block: Sequence[str], threshold: float,
+    text_rows: int = SCORED_CHUNK_ROWS, index_pairs: int = INDEX_PAIRS,
+) -> DataFrame:
+    """(block, _text_a, _text_b): pairs of sketched texts that may score above the threshold.
+
+    A block of at most ``index_pairs`` pairs is paired up outright.  For a larger one the postings of
+    the index are counted first, and the index is taken if its texts meet less often there.
+    Both ways find every pair that passes, so the choice is about work only.
+    """
+    count = F.count(F.lit(1))
+    pairs = a.groupBy(*block).agg(count.alias("_a")).join(b.groupBy(*block).agg(count.alias("_b")), list(block))
+    large = stage(
+        pairs.select(*block, (F.col("_a") * F.col("_b")).alias("_pairs")).filter(F.col("_pairs") > index_pairs), "blocks"
+    )
+    if large.isEmpty():
+        return _met_by_product(a, b, block, threshold, text_rows)
+    in_large = large.select(*block)
+    large_a = stage(a.join(in_large, list(block), "left_semi"), "texts")
+    large_b = large_a if b is a else stage(b.join(in_large, list(block), "left_semi"), "texts")
+    posted = text_index.staged_postings(large_a, large_b, block, threshold)
+    met = large.join(text_index.meetings(*posted, block), list(block), "left")
+    # A block of which no two texts share an item has no pair at all.
+    indexed = stage(met.filter(F.coalesce("_meetings", F.lit(0)) < F.col("_pairs")).select(*block), "blocks")
+    chosen = tuple(p.join(indexed, list(block), "left_semi") for p in posted)
+    rest_a = a.join(indexed, list(block), "left_anti")
+    rest_b = rest_a if b is a else b.join(indexed, list(block), "left_anti")
+    return stack(
+        _met_by_product(rest_a, rest_b, block, threshold, text_rows),
+        _met_by_index(large_a, large_b, chosen, block, threshold),
+    )
 
 
 def similar_texts(
@@ -107,52 +163,20 @@ def similar_texts(
     text: str,
     threshold: float,
     inclusive: bool = False,
-    ordered: bool = False,
     text_rows: int = SCORED_CHUNK_ROWS,
+    index_pairs: int = INDEX_PAIRS,
 ) -> DataFrame:
     """Distinct text pairs of a block scoring above the threshold: (block, _text_a, _text_b, score).
 
-    Copies collapse before any pairing, and the sketched texts are staged, because
-    counting the blocks and joining them both read them.  Texts meet by block and
-    length band, and where those are large in chunks of ``text_rows``, so that no task
-    holds one whole.  The native bound is part of the join condition, so pairs it rules
-    out never leave the join, and only the rest is scored.  ``ordered`` keeps
-    ``_text_a < _text_b``, for a frame joined with itself.
+    Copies collapse before any pairing.  ``candidate_texts`` finds the pairs that may
+    pass, and only those are scored.
     """
     block = list(block)
-
-    def sketched(df: DataFrame) -> DataFrame:
-        texts = df.select(*block, F.col(text).alias("_text")).dropna().distinct()
-        return stage(with_signature(texts, "_text").filter("size > 0"), "texts")
-
-    def named(df: DataFrame, suffix: str) -> DataFrame:
-        return df.withColumnsRenamed(
-            {c: f"{c}_{suffix}" for c in ("_text", *SIGNATURE_COLUMNS)}
-        )
-
-    texts = sketched(left)
-    a, b = _banded(
-        named(texts, "a"), named(texts if right is left else sketched(right), "b"), threshold
-    )
-    keys = [*block, "_band"]
-    hot = hot_keys(a, b, keys, text_rows)
-    # The work here is pairs, not bytes: an explicit count keeps the partitions from
-    # being merged, with one for every pair of chunks.
-    chunk_pairs = hot.agg(F.sum(F.col("_left_chunks") * F.col("_right_chunks"))).first()[0] or 0
-    spark = a.sparkSession
-    parts = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        4 * spark.sparkContext.defaultParallelism,
-        int(chunk_pairs),
-    )
-    a, b, keys = split_hot_keys(a, b, keys, F.col("_text_a"), F.col("_text_b"), text_rows, hot)
-    a, b = a.repartition(parts, *keys), b.repartition(parts, *keys)
-    condition = could_exceed("a", "b", threshold)
-    if ordered:
-        condition &= F.col("_text_a") < F.col("_text_b")
-    candidates = a.join(b, keys).filter(condition).select(*block, "_text_a", "_text_b")
+    a = _sketched(left, block, text)
+    b = a if right is left else _sketched(right, block, text)
     score = F.col("score")
-    return candidates.withColumn("score", jaro_winkler("_text_a", "_text_b")).filter(
+    found = candidate_texts(a, b, block, threshold, text_rows, index_pairs)
+    return found.withColumn("score", jaro_winkler("_text_a", "_text_b")).filter(
         score >= threshold if inclusive else score > threshold
     )
 
@@ -168,32 +192,35 @@ def fuzzy_pairs(
     inclusive: bool = False,
     text_rows: int = SCORED_CHUNK_ROWS,
     chunk_rows: int = CHUNK_ROWS,
+    index_pairs: int = INDEX_PAIRS,
 ) -> DataFrame:
     """Pairs with equal block keys whose text scores above the threshold: ids and score.
 
     Copies of a text come back in chunks of ``chunk_rows``: a pair of texts is repeated
     for every pair of chunks, each side fetches the rows of its chunk, and the two
-    meet on texts and chunks.  A task thus writes at most ``chunk_rows`` squared pairs of
+    meet on texts and chunks.  Texts with more copies than that are few, and only they are listed.  A task thus writes at most ``chunk_rows`` squared pairs of
     two texts, however often they occur.
     """
     block = list(block)
 
     def copies(df: DataFrame, id_column: str, side: str) -> tuple[DataFrame, DataFrame]:
+        """Chunk counts of the texts with more than one chunk, and the rows with their chunk."""
         rows = df.select(id_column, *block, F.col(text).alias(f"_text_{side}")).dropna(subset=[*block, f"_text_{side}"])
         on = [*block, f"_text_{side}"]
-        chunks = rows.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias(f"_chunks_{side}"))
-        chunk = F.pmod(F.xxhash64(id_column), F.col(f"_chunks_{side}"))
-        return chunks, rows.join(chunks, on).withColumn(f"_chunk_{side}", chunk).drop(f"_chunks_{side}")
+        counts = rows.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias(f"_chunks_{side}"))
+        hot = stage(counts.filter(F.col(f"_chunks_{side}") > 1), "hot-texts")
+        chunk = F.pmod(F.xxhash64(id_column), F.coalesce(f"_chunks_{side}", F.lit(1)))
+        return hot, rows.join(hot, on, "left").withColumn(f"_chunk_{side}", chunk).drop(f"_chunks_{side}")
 
     a_chunks, a = copies(left, left_id, "a")
     b_chunks, b = copies(right, right_id, "b")
     zero = F.lit(0).cast("long")
     pairs = stage(
-        similar_texts(left, right, block, text, threshold, inclusive, text_rows=text_rows)
-        .join(a_chunks, [*block, "_text_a"])
-        .join(b_chunks, [*block, "_text_b"])
-        .withColumn("_chunk_a", F.explode(F.sequence(zero, F.col("_chunks_a") - 1)))
-        .withColumn("_chunk_b", F.explode(F.sequence(zero, F.col("_chunks_b") - 1)))
+        similar_texts(left, right, block, text, threshold, inclusive, text_rows, index_pairs)
+        .join(a_chunks, [*block, "_text_a"], "left")
+        .join(b_chunks, [*block, "_text_b"], "left")
+        .withColumn("_chunk_a", F.explode(F.sequence(zero, F.coalesce("_chunks_a", F.lit(1)) - 1)))
+        .withColumn("_chunk_b", F.explode(F.sequence(zero, F.coalesce("_chunks_b", F.lit(1)) - 1)))
         .drop("_chunks_a", "_chunks_b"),
         "similar",
     )

@@ -85,7 +85,7 @@ def test_runs_append_only_what_is_new_and_compaction_changes_nothing(spark, regi
         held |= {k: ids[g] for g, its in groups.items() for k in its}
         if turn == 2:
             registry.compact()
-            assert registry.runs() == [4]
+            assert registry.runs.numbers() == [4]
             break
     ends = {r.id: r.root for r in registry.roots().collect()}
     stored = {r.key: r.id for r in registry.keys().collect()}
@@ -95,8 +95,8 @@ def test_runs_append_only_what_is_new_and_compaction_changes_nothing(spark, regi
 def test_a_run_without_its_marker_does_not_count(spark, registry):
     assign(spark, registry, {"a": ["a"]})
     assign(spark, registry, {"b": ["b"]})
-    delete_path(spark, f"{registry.path}/run-000000002/_ACCEPTED")
-    assert registry.runs() == [1] and registry.keys().count() == 1
+    delete_path(spark, f"{registry.runs.path}/run-000000002/_ACCEPTED")
+    assert registry.runs.numbers() == [1] and registry.keys().count() == 1
     assert assign(spark, registry, {"c": ["c"], "a": ["a"]}) == {"a": 1, "c": 2}
 
 

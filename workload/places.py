@@ -13,8 +13,9 @@ from recordloom.operators import addresses as A
 from recordloom.operators import history as H
 from recordloom.operators import joins as J
 from recordloom.operators import linkage as L
+from recordloom.operators.cluster_index import ClusterIndex
 from recordloom.operators.lasting import IdRegistry, resolved
-from recordloom.session import new_path
+from recordloom.session import new_path, stage
 
 from .frames import table
 from .registry import query
@@ -415,12 +416,32 @@ def lasting_address_ids(spark, sf_dir):
     """Two runs, from addresses to dated locations: only who moved, went or came has a new row."""
     early, late = (A.normalized(df) for df in _snapshots(spark, sf_dir))
     registry = IdRegistry(spark, new_path(spark, "address-ids"))
-    first = A.cluster_addresses(early)
-    history = H.scd2_initial(_located(first, registry.assign(first, "address_hash", "cluster_id")), BEFORE)
+    index = ClusterIndex(spark, new_path(spark, "address-clusters"))
+
+    def located(addresses):
+        index.add(addresses)
+        clustered = stage(index.clustered(addresses), "clustered")
+        return _located(clustered, registry.assign(index.families(clustered), "address_hash", "cluster_id"))
+
+    history = H.scd2_initial(located(early), BEFORE)
     # Addresses that were known once keep connecting those of later runs.
-    known = A.cluster_addresses(late.withColumn("now", F.lit(True)).unionByName(early.withColumn("now", F.lit(False))))
-    ids = registry.assign(known, "address_hash", "cluster_id")
-    now = _located(known.filter("now").drop("now"), ids)
-    roots = registry.roots()
+    now, roots = located(late), registry.roots()
     state = resolved(H.scd2_apply(history, now, AFTER, roots), roots, "address_id")
     return state.drop("match_confidence")
+
+
+@query(
+    recursive(
+        "SELECT source_id, a.address_hash, cluster_id FROM addr a JOIN clusters USING (address_hash)",
+        PLACES_SQL,
+        norm_sql("staged"),
+        CLUSTERS_SQL,
+    )
+)
+def address_clusters_by_batches(spark, sf_dir):
+    """The clusters of all addresses, of which three batches came one after the other."""
+    rows = stage(A.normalized(staged_places(spark, sf_dir)), "normalized")
+    index = ClusterIndex(spark, new_path(spark, "address-clusters"))
+    for batch in range(3):
+        index.add(rows.filter(F.col("source_id").cast("long") % 3 == batch))
+    return index.clustered(rows).select("source_id", "address_hash", "cluster_id")
