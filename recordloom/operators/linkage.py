@@ -19,6 +19,7 @@ from ..functions.similarity import (
 )
 from ..session import stage
 from . import text_index
+from .decisions import APPROVED, approved_pairs, without_rejected
 from .joins import CHUNK_ROWS, anti_not_in, hot_keys, split_hot_keys
 from .numbering import number_rows
 from .shape import stack
@@ -237,15 +238,22 @@ def link(
     right_id: str,
     rules: Sequence[LinkRule] = STANDARD_RULES,
     assume_non_null: bool = False,
+    decisions: DataFrame | None = None,
 ) -> DataFrame:
     """Bridge (left_id, right_id, match_strategy, score); all many-to-many links are kept.
 
     Rules run in order, and each sees only ids that earlier rules left on both sides
     (``NOT IN`` semantics, NULL rules included).  Frames come from ``match_frame``.
     An exact link scores 1.  Each rule's links are staged: later rules, the merge and
-    the mapping all read them.
+    the mapping all read them.  Under ``decisions`` approved pairs are links before any rule, and
+    a rejected pair is none, so its ids are left for later rules.
     """
     links: DataFrame | None = None
+    if decisions is not None:
+        given = approved_pairs(decisions, left, right, left_id, right_id)
+        links = stage(
+            given.select(left_id, right_id, F.lit(APPROVED).alias("match_strategy"), F.lit(1.0).alias("score")), "links"
+        )
     for rule in rules:
         rest_left, rest_right = left, right
         if links is not None:
@@ -258,6 +266,8 @@ def link(
             found = fuzzy_pairs(
                 rest_left, rest_right, rule.keys, rule.text, rule.threshold, left_id, right_id
             )
+        if decisions is not None:
+            found = without_rejected(found, decisions, left_id, right_id)
         found = stage(
             found.select(
                 left_id, right_id, F.lit(rule.name).alias("match_strategy"), "score"
@@ -337,9 +347,14 @@ def scored_pairs(
 
 
 def tier(pairs: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """Add ``confidence``: high links on its own, medium goes to review; the rest is dropped."""
+    """Add ``confidence``: high links on its own, medium goes to review; the rest is dropped.
+
+    An approved pair (``decided_pairs``) is high whatever its score.
+    """
     score = F.col("score")
     high = F.col("exact") | (F.col("same_place") & (score > bands.high))
+    if "approved" in pairs.columns:
+        high |= F.col("approved")
     medium = (F.col("same_place") & C.in_band(score, bands.low, bands.high)) | (
         F.col("same_address") & (score > bands.same_address)
     )

@@ -19,8 +19,10 @@ def standard_nested(raw: DataFrame) -> DataFrame:
     return standardize(raw, P.NESTED_STANDARD)
 
 
-def linked(left: DataFrame, right: DataFrame, assume_non_null: bool = False) -> DataFrame:
-    """Both rules over the rows of one country."""
+def linked(
+    left: DataFrame, right: DataFrame, assume_non_null: bool = False, decisions: DataFrame | None = None
+) -> DataFrame:
+    """Both rules over the rows of one country, under review decisions if there are any."""
     domestic = trimmed_equals("country", P.COUNTRY)
     return link(
         match_frame(left, P.LEFT_ID, P.MATCH_KEYS, domestic),
@@ -29,6 +31,7 @@ def linked(left: DataFrame, right: DataFrame, assume_non_null: bool = False) ->
         P.RIGHT_ID,
         STANDARD_RULES,
         assume_non_null,
+        decisions,
     )
 
 

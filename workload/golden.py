@@ -12,10 +12,11 @@ from recordloom.operators import history as H
 from recordloom.operators import linkage as L
 from recordloom.operators import merge as M
 from recordloom.operators import quality as Q
+from recordloom.operators.decisions import APPROVED, PENDING, REJECTED, DecisionLog, decided_pairs, undecided
 from recordloom.operators.numbering import seen_range as seen_by
 from recordloom.plans import models
 from recordloom.plans import presets as P
-from recordloom.session import stage
+from recordloom.session import new_path, stage
 from recordloom.sources.tables import flatten
 
 from .frames import KEYS_SQL, LINKS_SQL, SOURCES, table, with_feeds, with_links
@@ -358,6 +359,99 @@ def reviewed(spark, sf_dir):
     )
 
 
+# A person went through the queue of a first run: some pairs are approved, some rejected.
+DECIDED_SQL = """
+decided AS (
+  SELECT brewery_id, partner_brewery_id,
+         CASE (length(l.name) + length(r.name)) % 4 WHEN 0 THEN 'approved' ELSE 'rejected' END AS review_status
+  FROM flagged JOIN ladr l USING (brewery_id) JOIN radr r USING (partner_brewery_id)
+  WHERE (length(l.name) + length(r.name)) % 4 < 2)"""
+DECIDED_AT = dt.datetime(2024, 2, 2)
+
+
+def decided(spark, sf_dir):
+    """The two feeds of a run, their scored pairs, and the decisions on its queue, kept in a log."""
+    left, right = (stage(df, "feed") for df in _addressed(spark, sf_dir))
+    pairs = L.scored_pairs(left, right, P.LEFT_ID, P.RIGHT_ID)
+    flagged = L.review_flags(L.tier(pairs), P.LEFT_ID, P.RIGHT_ID)
+    names = [df.select(key, F.length("name").alias(n)) for df, key, n in ((left, P.LEFT_ID, "a"), (right, P.RIGHT_ID, "b"))]
+    read = flagged.join(names[0], P.LEFT_ID).join(names[1], P.RIGHT_ID).withColumn("turn", (F.col("a") + F.col("b")) % 4)
+
+    def rows(df, status, at):
+        return df.select(
+            F.col(P.LEFT_ID).alias("left_id"), F.col(P.RIGHT_ID).alias("right_id"), F.lit(status).alias("review_status"),
+            F.lit(at).alias("decided_at"), F.lit("reader").alias("decided_by"),
+        )
+
+    log = DecisionLog(spark, new_path(spark, "decisions"))
+    # All are rejected at first; the next day some of these are approved and others reopened.
+    log.append(rows(read, REJECTED, DECIDED_AT))
+    later = DECIDED_AT + dt.timedelta(days=1)
+    log.append(rows(read.filter("turn = 0"), APPROVED, later).union(rows(read.filter("turn > 1"), PENDING, later)))
+    return left, right, pairs, stage(log.current(), "decided")
+
+
+@query(
+    with_links(
+        """
+SELECT brewery_id, partner_brewery_id, CASE WHEN t.approved THEN 'high' ELSE confidence END AS confidence,
+       match_reason
+FROM tiered_after t LEFT JOIN flagged_after USING (brewery_id, partner_brewery_id)""",
+        PAIRS_SQL,
+        DECIDED_SQL,
+        """
+tiered_after AS (
+  SELECT t.*, coalesce(d.review_status = 'approved', false) AS approved
+  FROM tiered t LEFT JOIN decided d USING (brewery_id, partner_brewery_id)
+  WHERE d.review_status IS DISTINCT FROM 'rejected'),
+flagged_after AS (
+  SELECT brewery_id, partner_brewery_id,
+         CASE WHEN same_place AND score BETWEEN 0.85 AND 0.95 THEN 'borderline_name'
+              WHEN same_address AND score > 0.70 AND score < 0.85 THEN 'same_address_diff_name'
+              WHEN count(*) OVER (PARTITION BY brewery_id) > 1
+                OR count(*) OVER (PARTITION BY partner_brewery_id) > 1 THEN 'multiple_matches' END AS match_reason
+  FROM tiered_after QUALIFY match_reason IS NOT NULL AND NOT approved)""",
+    )
+)
+def review_after_decisions(spark, sf_dir):
+    """Tiers of the next run, and what its queue still asks for."""
+    left, right, pairs, decisions = decided(spark, sf_dir)
+    tiered = stage(L.tier(decided_pairs(pairs, decisions, left, right, P.LEFT_ID, P.RIGHT_ID)), "tiers")
+    flagged = undecided(L.review_flags(tiered, P.LEFT_ID, P.RIGHT_ID), decisions, P.LEFT_ID, P.RIGHT_ID)
+    asked = flagged.select(P.LEFT_ID, P.RIGHT_ID, "match_reason")
+    return tiered.select(P.LEFT_ID, P.RIGHT_ID, "confidence").join(asked, [P.LEFT_ID, P.RIGHT_ID], "left")
+
+
+@query(
+    with_feeds(
+        "SELECT brewery_id, partner_brewery_id, match_strategy, round(match_confidence, 9) AS match_confidence FROM mapping",
+        KEYS_SQL,
+        PAIRS_SQL,
+        DECIDED_SQL,
+        LINKS_SQL.replace(
+            "  SELECT 1 AS rule,",
+            "  SELECT 0 AS rule, brewery_id, partner_brewery_id, 1.0::DOUBLE AS score FROM decided WHERE review_status = 'approved'\n"
+            "  UNION ALL\n  SELECT 1 AS rule,",
+        )
+        .replace("proposed AS (", "offered AS (")
+        .replace(
+            "links AS (",
+            "proposed AS (\n  FROM offered o WHERE NOT EXISTS (FROM decided d WHERE d.review_status = 'rejected'\n"
+            "    AND d.brewery_id = o.brewery_id AND d.partner_brewery_id = o.partner_brewery_id)),\nlinks AS (",
+        )
+        .replace("['exact_name_state', 'fuzzy_name_city'][rule]", "['approved', 'exact_name_state', 'fuzzy_name_city'][rule + 1]"),
+        MAPPING_SQL,
+    )
+)
+def mapping_after_decisions(spark, sf_dir):
+    """The mapping of the next run: approved pairs are in it, rejected ones are not."""
+    *_, decisions = decided(spark, sf_dir)
+    left, right = seen_feeds(spark, sf_dir)
+    links = models.linked(left, right, decisions=decisions)
+    mapping = M.id_mapping(left, right, links, P.LEFT_ID, P.RIGHT_ID, SOURCES, RUN_TIME)
+    return mapping.select(P.LEFT_ID, P.RIGHT_ID, "match_strategy", F.round("match_confidence", 9).alias("match_confidence"))
+
+
 @query(
     with_feeds(
         f"""
