@@ -1,21 +1,18 @@
 """Quality rules: figures of each document, and lines that many documents of a host share.
 
 Lines are normalised (ASCII letters lower-cased, digits to 0, white space to one space) and
-hashed together with their host.  A line is shared if more than ``most_docs`` distinct texts
-of its host hold it and these are more than ``most_share`` of the host's distinct texts;
-copies of a text count once, so a text is not condemned by being copied.  Shared lines are
-removed, and a document is rejected that fails the base rules or keeps less than
-``least_left`` of its words.
+hashed together with their host.  A line is shared if more than ``most_docs`` documents of its host hold it,
+whatever the size of the host.  Copies of a text count once.  So do near copies and pages
+without content of their own: a text counts as a document if at least ``own_share`` of the words of its
+distinct lines stand in lines that no other text of the host holds, and all other texts that hold a
+line count as one for it.  So no text is condemned by its copies.  Shared lines are removed, and a document is
+rejected that fails the base rules or keeps less than ``least_left`` of its words.
 
 Shared lines are rows (host, line, texts that hold it), however many a host has.  The lines of
 the distinct texts meet them by a join on host and line, in which a line of more than
 ``chunk_rows`` texts is cut in chunks by the text; what a text holds of them comes back to its
 documents by a join on host and text.  So no row and no task holds the lines of a host.
 
-The share loosens with the host: in one of more than ``most_docs`` / ``most_share`` distinct texts
-only the share acts.  It is part of the rule that ``RULES_SQL`` states; ``most_share=0`` leaves the
-absolute count alone.
-
 Defined cases: null texts have no words and fail the base rules; null hosts are one host;
 repeated rows get equal results; lines without a word are never shared and are kept; further
 columns are carried along, and added names never clash; no rows give no rows.
@@ -36,7 +33,7 @@ from ..session import stage
 from .common import free_names
 
 MOST_DOCS = 10
-MOST_SHARE = 0.02
+OWN_SHARE = 0.2
 LEAST_LEFT = 0.3
 LEAST_WORDS = 50
 CHUNK_ROWS = 1024  # texts of one shared line that meet it in one task
@@ -91,43 +88,54 @@ def _text_key(text: Column) -> Column:
 
 def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lines = []
+        lines, words = [], []
         for text in batch.column(2).cast(pa.binary()).to_pylist():
-            lines.append(list({line_hash(line) for line in (text or b"").split(b"\n") if line.split(None, 1)}))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(lines, pa.list_(pa.int64()))], names=["host", "text", "lines"]
-        )
+            found = {line_hash(line): len(line.split()) for line in (text or b"").split(b"\n") if line.split(None, 1)}
+            lines.append(list(found))
+            words.append(list(found.values()))
+        arrays = [pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["host", "text", "lines", "words"])
 
 
 def text_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(host, text, lines): the hashes of the distinct lines of every distinct text of a host."""
+    """(host, text, lines, words): hashes and lengths of the distinct lines of every distinct text of a host."""
     host, text = _host(F.col(host_col)), F.col(text_col)
     hashed = docs.select(host.alias("host"), _text_key(text).alias("key"), text.alias("text")).mapInArrow(
-        _hash_lines, "host string, text long, lines array<long>"
+        _hash_lines, "host string, text long, lines array<long>, words array<int>"
     )
-    return stage(hashed.groupBy("host", "text").agg(F.first("lines").alias("lines")), "lines")
+    both = F.first(F.struct("lines", "words")).alias("held")
+    return stage(hashed.groupBy("host", "text").agg(both).select("host", "text", "held.*"), "lines")
+
 
+def texts_with_content(texts: DataFrame, own_share: float = OWN_SHARE) -> DataFrame:
+    """(host, text) of the texts that count as documents: enough of their words are in lines of their own.
 
-def shared_lines(texts: DataFrame, most_docs: int = MOST_DOCS, most_share: float = MOST_SHARE) -> DataFrame:
-    """(host, line, docs): the lines that the texts of ``text_lines`` share, and how many hold each."""
-    sizes = texts.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("texts"))
-    counts = (
-        texts.select("host", F.explode("lines").alias("line"))
-        .groupBy("host", "line")
-        .agg(F.count(F.lit(1)).alias("docs"))
-        .filter(F.col("docs") > most_docs)
+    A line with one text names that text, so the words of its own lines are summed without a join.
+    """
+    held = texts.select("host", "text", F.explode(F.arrays_zip("lines", "words")).alias("of")).select("host", "text", "of.*")
+    alone = held.groupBy("host", "lines").agg(
+        F.count(F.lit(1)).alias("n"), F.min("text").alias("text"), F.min("words").alias("words")
     )
-    return (
-        counts.join(sizes, counts["host"] == sizes["of"])
-        .filter(F.col("docs") > F.col("texts") * F.lit(most_share))
-        .select("host", "line", "docs")
+    own = alone.filter("n = 1").groupBy("host", "text").agg(F.sum("words").alias("own"))
+    total = texts.select("host", "text", F.aggregate("words", F.lit(0).cast("long"), lambda a, b: a + b).alias("total"))
+    return total.join(own, ["host", "text"]).filter(F.col("own") >= F.col("total") * F.lit(own_share)).select("host", "text")
+
+
+def shared_lines(texts: DataFrame, most_docs: int = MOST_DOCS, own_share: float = OWN_SHARE) -> DataFrame:
+    """(host, line, docs, texts): the lines that documents share, how many do, and how many texts hold each."""
+    content = texts_with_content(texts, own_share).withColumn("counts", F.lit(1))
+    held = texts.join(content, ["host", "text"], "left").select(
+        "host", F.coalesce("counts", F.lit(0)).alias("counts"), F.explode("lines").alias("line")
     )
+    docs = F.sum("counts") + F.max(1 - F.col("counts"))
+    counted = held.groupBy("host", "line").agg(docs.alias("docs"), F.count(F.lit(1)).alias("texts"))
+    return counted.filter(F.col("docs") > most_docs)
 
 
 def lines_to_remove(texts: DataFrame, shared: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(host, text, lines): the shared lines that each text holds, for texts with any."""
-    chunks = F.ceil(F.col("docs") / chunk_rows)
-    hot = stage(shared.filter(F.col("docs") > chunk_rows).select("host", "line", chunks.alias("chunks")), "hot-lines")
+    chunks = F.ceil(F.col("texts") / chunk_rows)
+    hot = stage(shared.filter(F.col("texts") > chunk_rows).select("host", "line", chunks.alias("chunks")), "hot-lines")
     held = (
         texts.select("host", "text", F.explode("lines").alias("line"))
         .join(hot, ["host", "line"], "left")
@@ -182,7 +190,7 @@ def _judge(least_left: float, carried: int, text_at: int | None, name: str):
 
 def judged(
     docs: DataFrame, text_col: str = "text", host_col: str = "source", carry: list[str] | None = None,
-    name: str = "rules", most_docs: int = MOST_DOCS, most_share: float = MOST_SHARE, least_left: float = LEAST_LEFT,
+    name: str = "rules", most_docs: int = MOST_DOCS, own_share: float = OWN_SHARE, least_left: float = LEAST_LEFT,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """The columns ``carry`` (all by default) and a struct ``name`` with figures and verdict.
@@ -192,7 +200,7 @@ def judged(
     carry = docs.columns if carry is None else carry
     of, key, lines, text = free_names(docs, "of", "key", "lines", "whole_text")
     texts = text_lines(docs, text_col, host_col)
-    shared = stage(shared_lines(texts, most_docs, most_share), "shared-lines")
+    shared = stage(shared_lines(texts, most_docs, own_share), "shared-lines")
     held = lines_to_remove(texts, shared, chunk_rows).withColumnsRenamed({"host": of, "text": key, "lines": lines})
     held = stage(held, "held-lines")
     same = (_host(docs[host_col]) == held[of]) & (_text_key(docs[text_col]) == held[key])
@@ -242,9 +250,15 @@ RULES_SQL = """
                array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[^\\x20\\x09-\\x0D]+'), ' ') AS shape
         FROM shapes
     ),
+    held AS (SELECT DISTINCT source, text, shape, n FROM normal),
+    counted AS (SELECT source, shape, count(*) AS texts FROM held GROUP BY source, shape),
+    content AS (
+        SELECT source, text, coalesce(sum(n) FILTER (texts = 1), 0) >= 0.2 * sum(n) AS own
+        FROM held JOIN counted USING (source, shape) GROUP BY source, text
+    ),
     shared AS (
-        SELECT source, shape FROM normal JOIN (SELECT source, count(DISTINCT text) AS texts FROM words GROUP BY source) h USING (source)
-        GROUP BY source, shape, texts HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.02 * texts
+        SELECT source, shape FROM held JOIN content USING (source, text)
+        GROUP BY source, shape HAVING count(*) FILTER (own) + max((NOT own)::INT) > 10
     ),
     removed AS (
         SELECT doc_id, sum(n) AS removed FROM normal SEMI JOIN shared USING (source, shape) GROUP BY doc_id

@@ -18,14 +18,24 @@ def shape(line):
     return " ".join(WORD.findall(lowered))
 
 
-def plain(rows, most_docs, most_share, least_left):
+def plain(rows, most_docs, own_share, least_left):
     """Verdicts by the definitions, with texts and lines themselves."""
-    texts, holders = defaultdict(set), defaultdict(set)
+    holders, sizes = defaultdict(set), defaultdict(dict)
     for _, text, host in rows:
-        texts[host].add(text or "")
         for line in (text or "").split("\n"):
             if WORD.search(line):
                 holders[host, shape(line)].add(text)
+                sizes[host, text][shape(line)] = len(WORD.findall(line))
+    content = {
+        key for key, lines in sizes.items()
+        if sum(n for x, n in lines.items() if len(holders[key[0], x]) == 1) >= own_share * sum(lines.values())
+    }
+
+    def documents(host, line):
+        texts = holders[host, shape(line)]
+        own = sum((host, t) in content for t in texts)
+        return own + (own < len(texts))
+
     out = []
     for doc_id, text, host in rows:
         text = text or ""
@@ -40,8 +50,7 @@ def plain(rows, most_docs, most_share, least_left):
         removed = sum(
             len(WORD.findall(x))
             for x in lines
-            if len(holders[host, shape(x)]) > most_docs
-            and len(holders[host, shape(x)]) > most_share * len(texts[host])
+            if documents(host, x) > most_docs
         )
         kept = not failed and n - removed >= least_left * n
         symbols = len(re.findall(r"[#*$%&|<>]", text))
@@ -60,7 +69,7 @@ FIELDS = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed ke
 def check(docs, **limits):
     rows = [(r.doc_id, r.text, r.source) for r in docs.select("doc_id", "text", "source").collect()]
     found = line_rules.judged(docs, carry=["doc_id"], **limits).collect()
-    expected = plain(rows, limits.get("most_docs", 10), limits.get("most_share", 0.02), limits.get("least_left", 0.3))
+    expected = plain(rows, limits.get("most_docs", 10), limits.get("own_share", 0.2), limits.get("least_left", 0.3))
     assert sorted(map(str, expected)) == sorted(str((r.doc_id, *[r.rules[f] for f in FIELDS])) for r in found)
     return found
 
@@ -75,19 +84,25 @@ def shared(docs_of):
     footer = "Subscribe NOW to our list of 12 offers and read all about it today"
     menu = "\n".join(f"{j} entry" + "".join(f" {j}{k}x" for k in "abcdefghijklm") for j in "pqrs")
     rows = [(i, prose(70, 100 * i) + "\n" + footer.replace("12", str(i + 10)), "a") for i in range(8)]
-    rows += [(20 + i, menu + "\nown words " + prose(3, i), "a") for i in range(6)]
+    rows += [(20 + i, menu + "\nown words " + prose(16, 20 * i), "a") for i in range(6)]
     rows += [(40 + i, prose(70, 5000) + "\na line that only copies hold", "a") for i in range(9)]  # copies of one text
     rows += [(60, prose(70, 9000) + "\n" + footer, "b")]  # the line is rare in this host
+    # Near copies: nine lines of one text, one line of each its own.
+    rows += [(80 + i, "\n".join([prose(12, 20000 + 50 * k) for k in range(9)] + [prose(6, 30000 + 50 * i)]), "a") for i in range(30)]
+    # Pages of the menu alone, with hardly a word of their own.
+    rows += [(120 + i, menu + "\n" + prose(4, 40000 + 50 * i), "a") for i in range(7)]
     return docs_of(rows)
 
 
 def test_shared_lines_go_and_depleted_documents_fail(shared):
-    limits = {"most_docs": 4, "most_share": 0.1}
+    limits = {"most_docs": 4}
     found = {r.doc_id: r.rules for r in check(shared, **limits)}
     assert all(found[i].removed_words == 14 and found[i].kept for i in range(8))
     assert not any(found[20 + i].kept or found[20 + i].base_failed for i in range(6))
     assert all(found[40 + i].removed_words == 0 and found[40 + i].kept for i in range(9))
     assert found[60].removed_words == 0 and found[60].kept
+    assert all(found[80 + i].removed_words == 0 and found[80 + i].kept for i in range(30))
+    assert not any(found[120 + i].kept for i in range(7))
     kept = line_rules.keep_good(shared, **limits)
     assert kept.columns == shared.columns
     texts = {r.doc_id: r for r in kept.collect()}
@@ -95,13 +110,22 @@ def test_shared_lines_go_and_depleted_documents_fail(shared):
     assert texts[60].text.endswith("today") and texts[60].n_chars == len(texts[60].text)
 
 
-@pytest.mark.parametrize("limits", [{"most_share": 0.1}, {"most_share": 0.0}])
-def test_shared_lines_are_rows_and_hot_lines_are_cut(shared, limits):
+def test_the_limit_does_not_loosen_with_the_host(docs_of):
+    footer = "all rights to this text are kept by its author in every land"
+    rows = [(i, prose(60, 100 * i) + ("\n" + footer if i < 12 else ""), "big") for i in range(900)]
+    found = {r.doc_id: r.rules.removed_words for r in check(docs_of(rows))}
+    assert all(found[i] == (13 if i < 12 else 0) for i in range(900))
+
+
+@pytest.mark.parametrize("own_share", [0.2, 0.0])
+def test_shared_lines_are_rows_and_hot_lines_are_cut(shared, own_share):
     texts = line_rules.text_lines(shared)
-    assert texts.count() == 8 + 6 + 1 + 1  # copies once
-    rows = line_rules.shared_lines(texts, most_docs=4, **limits).collect()
-    assert sorted(r.docs for r in rows) == [6, 6, 6, 6, 8] and len({(r.host, r.line) for r in rows}) == 5
-    check(shared, most_docs=4, chunk_rows=3, **limits)
+    assert texts.count() == 8 + 6 + 1 + 1 + 30 + 7  # copies once
+    rows = line_rules.shared_lines(texts, most_docs=4, own_share=own_share).collect()
+    menu = [6 + (1 if own_share else 7)] * 4
+    near = [] if own_share else [30] * 9  # every text counts
+    assert sorted(r.docs for r in rows) == sorted([8, *menu, *near])
+    check(shared, most_docs=4, chunk_rows=3, own_share=own_share)
 
 
 def test_many_distinct_words_do_not_mix_up_triples(docs_of):
