@@ -84,28 +84,20 @@ def link_fuzzy(spark, sf_dir):
 
 
 @query(
-    """
-WITH l AS (SELECT c_custkey, concat(c_custkey * 7919 % 1000003, ' ', c_name) AS name, c_nationkey % 5 AS region FROM customer),
-r AS (SELECT o_custkey AS other_key, concat(o_custkey * 7919 % 1000003, ' ', 'Customer#', lpad(CAST(o_custkey AS VARCHAR), 9, '0'), 'x') AS name,
-             min(c_nationkey) % 5 AS region
-      FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey)
-SELECT c_custkey, other_key, round(jaro_winkler_similarity(l.name, r.name), 9) AS score
-FROM l JOIN r USING (region) WHERE jaro_winkler_similarity(l.name, r.name) > 0.95"""
-)
-def link_indexed_names(spark, sf_dir):
-    """Few, large blocks: names meet on their rarest bytes instead of all with all."""
-    customer = table(spark, sf_dir, "customer")
-    number = "CAST({0} * 7919 % 1000003 AS STRING)"
-    left = customer.select(
-        "c_custkey", F.expr(f"concat({number.format('c_custkey')}, ' ', c_name)").alias("name"), (F.col("c_nationkey") % 5).alias("region")
+    with_links(
+        """
+SELECT brewery_id, partner_brewery_id, round(likeness.score, 9) AS score
+FROM lkey l JOIN rkey r USING (state_province, city),
+     LATERAL (SELECT jaro_winkler_similarity(l.name, r.name) AS score) likeness
+WHERE likeness.score > 0.95"""
     )
-    ordering = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct().join(customer, "c_custkey")
-    right = ordering.select(
-        F.col("c_custkey").alias("other_key"),
-        F.expr(f"concat({number.format('c_custkey')}, ' ', 'Customer#', lpad(CAST(c_custkey AS STRING), 9, '0'), 'x')").alias("name"),
-        (F.col("c_nationkey") % 5).alias("region"),
+)
+def link_fuzzy_indexed(spark, sf_dir):
+    """Every block has its postings counted, and is indexed where names meet less often there."""
+    left, right = keyed(*feeds(spark, sf_dir))
+    pairs = L.fuzzy_pairs(
+        left, right, ["state_province", "city"], "name", 0.95, P.LEFT_ID, P.RIGHT_ID, index_pairs=0
     )
-    pairs = L.fuzzy_pairs(left, right, ["region"], "name", 0.95, "c_custkey", "other_key", index_pairs=0)
     return pairs.withColumn("score", F.round("score", 9))
 
 
