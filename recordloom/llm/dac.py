@@ -24,6 +24,7 @@ table, a task that is lost writes its part again, and readers see committed part
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -149,7 +150,18 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-        self.tokenizer.encode_special_tokens = True
+        # Added tokens are found in whole texts before these are cut, and only the usual byte-level
+        # splitting can be followed piece by piece; other texts and tokenizers are encoded whole.
+        settings = json.loads(self.tokenizer.to_str())
+        splitter = settings["pre_tokenizer"] or {}
+        self.by_pieces = (
+            settings["normalizer"] is None
+            and splitter.get("type") == "ByteLevel"
+            and splitter.get("use_regex", False)
+            and not splitter.get("add_prefix_space", True)
+            and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in settings["added_tokens"])
+        )
+        self.added = "|".join(re.escape(t["content"]) for t in settings["added_tokens"])
         # In a byte-level vocabulary a token has one character for each byte.
         names = self.tokenizer.get_vocab()
         self.n_bytes = np.zeros(max(names.values()) + 1, np.int64)
@@ -221,10 +233,21 @@ class Encoder:
         ids = np.concatenate([self.flat, head_ids])[_runs(source, count)]
         return ids, np.add.reduceat(count, starts)
 
+    def _holding(self, texts: pa.Array, pattern: str) -> np.ndarray:
+        return pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False).astype(bool)
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        awkward = pc.match_substring_regex(texts, _AWKWARD).to_numpy(zero_copy_only=False).astype(bool)
+        awkward = self._holding(texts, _AWKWARD)
+        whole = self._holding(texts, self.added) if self.added else np.zeros(len(texts), bool)
+        if not self.by_pieces:
+            whole[:] = True
         result: list = [None] * len(texts)
-        for some, cut in ((np.nonzero(~awkward)[0], None), (np.nonzero(awkward)[0], _CUT)):
+        if whole.any():
+            some = np.nonzero(whole)[0]
+            ids, count = self._ids(texts.take(pa.array(some)).to_pylist())
+            for row, part in zip(some.tolist(), np.split(ids, np.cumsum(count)[:-1])):
+                result[row] = part
+        for some, cut in ((np.nonzero(~awkward & ~whole)[0], None), (np.nonzero(awkward & ~whole)[0], _CUT)):
             if len(some):
                 chosen = texts.take(pa.array(some))
                 if cut is None:

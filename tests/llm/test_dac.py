@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import json
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -35,9 +37,7 @@ def test_codes_are_as_long_as_their_levels():
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    return plain
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +52,24 @@ def test_pieces_make_the_ids_of_whole_texts(tokenizer, encoder, texts):
     assert [g.tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_added_tokens_in_texts_are_found(tokenizer, encoder):
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|> b  c\n", "<|endoftext |>", "", "plain words."]
+    got = [g.tolist() for g in encoder.encode_all(pa.array(texts))]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] == [87, 220, 50256, 331]
+
+
+def test_a_tokenizer_with_other_splitting_encodes_whole_texts(tokenizer, tmp_path):
+    settings = json.loads(tokenizer.to_str())
+    settings["pre_tokenizer"]["use_regex"] = False
+    path = str(tmp_path / "other.json")
+    Path(path).write_text(json.dumps(settings))
+    texts = ["two words, and more. 12", " x", ""]
+    other = Tokenizer.from_file(path)
+    got = [g.tolist() for g in dac.Encoder(path).encode_all(pa.array(texts))]
+    assert got == [other.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_forgetting_pieces_changes_nothing(tokenizer, monkeypatch):
     monkeypatch.setattr(dac, "KNOWN_PIECES", 3)
     monkeypatch.setattr(dac, "SLICE", 20)

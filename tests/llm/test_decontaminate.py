@@ -14,8 +14,8 @@ def plain(text, item):
     """Whether any diagonal has a run of item tokens that agrees well enough."""
     x, y = D.tokens(text), D.tokens(item)
     run = min(D.LEAST_RUN, len(y))
-    if len(y) < D.LEAST_ITEM:
-        return False
+    if len(y) < D.LEAST_ITEM:  # as a whole
+        return bool(y) and any(x[i : i + len(y)] == y for i in range(len(x)))
     for shift in range(-len(y), len(x)):
         equal = [0 <= i + shift < len(x) and x[i + shift] == w for i, w in enumerate(y)]
         inside = [0 <= i + shift < len(x) for i in range(len(y))]
@@ -43,6 +43,7 @@ def case(spark, docs_of):
     rng = random.Random(4)
     vocabulary = [f"t{i}" for i in range(40)]  # few words, so seeds meet by chance too
     items = [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (5, 8, 9, 12, 13, 20, 40, 40)]
+    assert len(items) == 8
     items += [items[5].upper().replace(" ", ", "), None, ""]
     texts = []
     for item in items[:8]:
@@ -63,13 +64,26 @@ def test_overlaps_equal_all_diagonals(case, block_tokens, monkeypatch):
     monkeypatch.setattr(D.blocks, "__defaults__", ("item_id", "text", block_tokens))
     found = {(r.doc_id, r.item_id) for r in D.overlaps(docs, benchmark).collect()}
     assert found == {
-        (i, j) for i, t in enumerate(texts) for j, item in enumerate(items) if j != 8 and plain(t, item)
+        (i, j) for i, t in enumerate(texts) for j, item in enumerate(items) if plain(t, item)
     }
     kept = D.drop_contaminated(docs, benchmark)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {i for i, _ in found}
 
 
+def test_short_null_and_equal_items(spark, docs_of):
+    items = [(1, "the exact answer"), (2, "The EXACT answer!"), (None, "another short item of seven tokens"), (3, "日本語の長い問題文"), (4, "yes"), (None, None), (5, "...")]
+    texts = [
+        "so the exact answer is", "the very exact answer", "it is another short item of seven tokens", "another short item of eight tokens",
+        "x 日本語の長い問題文 y", "日本語", "yes", "yesterday", "the exact", "",
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of([(i, t, "a") for i, t in enumerate(texts)])
+    found = {(r.doc_id, r.item_id) for r in D.overlaps(docs, benchmark).collect()}
+    assert found == {(0, 1), (0, 2), (2, None), (4, 3), (6, 4)}
+    assert {r.doc_id for r in D.drop_contaminated(docs, benchmark).collect()} == {1, 3, 5, 7, 8, 9}
+
+
 def test_messy_and_empty_tables(messy, nothing, case):
     _, _, benchmark, _ = case
     assert D.overlaps(messy, benchmark).collect() == []
