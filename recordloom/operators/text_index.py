@@ -18,6 +18,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,7 @@ OCCURRENCES = 256  # further occurrences of a byte count as one item, which is t
 _SLOTS = 256 * OCCURRENCES
 ANY, FIRST, FOUR = 0, 1, 2  # kinds of pairs: first byte differs, is equal, all four are
 POSTINGS_ROWS = 8192  # of one item of a block that meet in a task, per side
+SLICE_BYTES = 128 << 10  # of text that is worked off together; a byte makes about two postings
 
 
 def share_needed(kind: int, threshold: float) -> float:
@@ -60,9 +62,21 @@ def _items(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return group // 256, slot, lengths
 
 
+def _slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with ``SLICE_BYTES`` of text, or one longer text."""
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False))
+        low = 0
+        while low < batch.num_rows:
+            done = sizes[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(sizes, done + SLICE_BYTES, "right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(_SLOTS, np.int64)
-    for batch in batches:
+    for batch in _slices(batches, "_text"):
         slots = _items(batch.column(0))[1]
         total += np.bincount(slots[slots >= 0], minlength=_SLOTS)
     some = np.flatnonzero(total)
@@ -88,7 +102,7 @@ def _post(ranks: np.ndarray, threshold: float, left: bool):
     """Rows of id, text and head become postings (id, key); equal texts of a side are one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, "_text"):
             rows, slots, sizes = _items(batch.column("_text"))
             rank = np.where(slots >= 0, ranks[slots], 0)
             order = np.lexsort((rank, rows))

@@ -9,6 +9,9 @@ from recordloom.functions.geo import haversine_m
 from recordloom.functions.similarity import jaro_winkler
 from recordloom.operators import shape as S
 from recordloom.operators.numbering import newest, page, page_after, rank_within, top
+from recordloom.operators.published import publish
+from recordloom.operators.shape import stack
+from recordloom.session import new_path
 from recordloom.operators.numbering import number_rows as numbered
 
 from .frames import LINES_SQL, lines, table
@@ -337,6 +340,39 @@ def page_keyset(spark, sf_dir):
     return page_after(orders, "o_orderkey", 777, 50)
 
 
+PUBLISHED_SQL = """
+SELECT 'page' AS part, doc_id, n_chars, NULL::BIGINT AS total FROM (FROM documents ORDER BY doc_id LIMIT 40 OFFSET 120)
+UNION ALL
+SELECT 'after', doc_id, n_chars, NULL FROM (FROM documents WHERE doc_id > 77 ORDER BY doc_id LIMIT 130)
+UNION ALL
+SELECT 'totals', 4, 40, count(*) FROM documents
+UNION ALL
+SELECT 'search', doc_id, n_chars, NULL FROM documents
+WHERE contains(lower(text), 'licen') OR contains(lower(source), 'licen')
+UNION ALL
+SELECT 'short', doc_id, n_chars, NULL FROM documents
+WHERE contains(lower(text), 'th') OR contains(lower(source), 'th')"""
+
+
+@query(PUBLISHED_SQL)
+def published_pages_and_search(spark, sf_dir):
+    """A page, the rows after a key, totals and two searches of one published table."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
+    published = publish(documents, "doc_id", new_path(spark, "published"), ["text", "source"])
+    found = published.page(4, 40)
+    parts = {
+        "page": found.rows, "after": published.after(77, 130), "search": published.search("Licen"), "short": published.search("TH"),
+    }
+    rows = [
+        df.select(F.lit(part).alias("part"), "doc_id", "n_chars", F.lit(None).cast("long").alias("total"))
+        for part, df in parts.items()
+    ]
+    totals = found.totals.select(
+        F.lit("totals").alias("part"), F.col("page").cast("long").alias("doc_id"), F.col("per_page").cast("long").alias("n_chars"), "total"
+    )
+    return stack(*rows, totals)
+
+
 @query("SELECT event_id, ts FROM events ORDER BY ts DESC LIMIT 20")
 def newest_rows(spark, sf_dir):
     return newest(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", 20)
