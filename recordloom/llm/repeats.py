@@ -8,8 +8,10 @@ coordinate, the block and word where it first occurs.  Along a document, edges w
 follow one another word by word form a nonbranching path and compact to one span with one source
 coordinate: where the graph branches, the sources jump and the path ends.  Distinct spans
 are joined with the blocks of their sources, and there an independent hash of every edge on
-the way verifies the whole span.  Edges are 64-bit hashes; should a span be refuted, two
-different windows had one hash, and everything runs again under another seed.
+the way verifies the whole span.  Edges are 64-bit hashes, so of n windows about n^2 / 2^65 pairs share
+one.  A span over such a pair is refuted; then the next pass gives the hashes on its way a
+hash of the next level, and only texts under these are looked at with other eyes.  Passes end when
+no span is refuted, at any size; a second one is to be expected from some 10^10 windows on.
 
 Every word under a window that also starts earlier (smaller id, or same document and earlier
 start) is removed; windows are judged on the input.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
@@ -36,15 +39,23 @@ from ..session import stage
 from . import exchange as X
 
 WINDOW = 20
-SEEDS = 8
+KEY_BITS = 64
+
+
+@dataclass(frozen=True)
+class Avoid:
+    """Keys that two different windows shared, by the pass that found them; as few as collisions are."""
+
+    bits: int = KEY_BITS
+    keys: tuple[np.ndarray, ...] = ()
 
 
 class Edges:
     """The words of a block, in order of its documents, and the windows over them."""
 
-    def __init__(self, docs: pa.Table, seed: int, window: int):
+    def __init__(self, docs: pa.Table, avoid: Avoid, window: int):
         self.docs = docs.sort_by([("place", "ascending"), ("text_hash", "ascending")])
-        self.window, self.seed = window, seed
+        self.window, self.avoid = window, avoid
         self.words = X.words_of(self.docs.column("text"), lower=False)
         code, ends = self.words.code, self.words.ends
         sizes = ends - self.words.starts
@@ -53,10 +64,11 @@ class Edges:
 
     @cached_property
     def _hashes(self) -> np.ndarray:
-        return self.words.hashes(self.seed)
+        return self.words.hashes(0)
 
-    def _rolled(self, which: int) -> np.ndarray:
-        word = X.scramble(self._hashes[:, which])[self.words.code]
+    def _rolled(self, level: int, which: int) -> np.ndarray:
+        hashes = self.words.hashes(level) if level else self._hashes
+        word = X.scramble(hashes[:, which])[self.words.code]
         value = np.zeros(len(self.start), np.uint64)
         for i in range(self.window):
             value *= np.uint64(0x9E3779B97F4A7C15)
@@ -65,13 +77,19 @@ class Edges:
 
     @cached_property
     def key(self) -> np.ndarray:
-        """A hash of each window."""
-        return self._rolled(0)
+        """A hash of each window, of the next level where that of one level is to be avoided."""
+        mask = np.uint64((1 << 64) - (1 << (64 - self.avoid.bits)))
+        value = self._rolled(0, 0) & mask
+        for level, keys in enumerate(self.avoid.keys, 1):
+            hit = np.isin(value, keys)
+            if hit.any():
+                value[hit] = (self._rolled(level, 0) & mask)[hit]
+        return value
 
     @cached_property
     def check(self) -> np.ndarray:
         """Another hash of each window, independent of the key."""
-        return self._rolled(1)
+        return self._rolled(0, 1)
 
     @cached_property
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,9 +128,9 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
-def _requests(buckets: int, seed: int, window: int):
+def _requests(buckets: int, avoid: Avoid, window: int):
     def run(key: tuple, docs: pa.Table) -> pa.Table:
-        edges = Edges(docs, seed, window)
+        edges = Edges(docs, avoid, window)
         ordinal = edges.start[edges.first].astype(np.uint64)
         cuts = edges.cuts(buckets)
         rows = [
@@ -146,12 +164,12 @@ def _answer(key: tuple, requests: pa.Table) -> pa.Table:
     return _table(answers, ANSWER)
 
 
-def _resolve(buckets: int, seed: int, window: int):
+def _resolve(buckets: int, avoid: Avoid, window: int):
     """Per document what stays and its digest; per compacted path its span, source and check."""
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         me = key[0].as_py()
-        edges = Edges(docs, seed, window)
+        edges = Edges(docs, avoid, window)
         source_block = np.full(len(edges.keys), me, np.int64)
         source = edges.start[edges.first].astype(np.int64)
         cuts = edges.cuts(buckets)
@@ -200,21 +218,23 @@ def _resolve(buckets: int, seed: int, window: int):
     return run
 
 
-def _refuted(seed: int, window: int):
-    """Spans whose words differ from those at their source."""
+def _refuted(avoid: Avoid, window: int):
+    """Keys on the way of spans whose words differ from those at their source."""
 
     def run(key: tuple, docs: pa.Table, paths: pa.Table) -> pa.Table:
-        wrong = 0
+        wrong = np.zeros(0, np.uint64)
         if paths.num_rows:
-            edges = Edges(docs, seed, window)
+            edges = Edges(docs, avoid, window)
             position = np.full(len(edges.words.code) + 1, -1, np.int64)
             position[edges.start] = np.arange(len(edges.start))
             total = np.append(np.uint64(0), np.cumsum(edges.check, dtype=np.uint64))
             at = position[paths.column("source_ordinal").to_numpy()]
             last = at + paths.column("words").to_numpy() - window + 1
             sums = (total[last] - total[at]).view(np.int64)
-            wrong = int(((at < 0) | (sums != paths.column("check").to_numpy())).sum())
-        return pa.table({"wrong": pa.array([wrong], pa.int64())})
+            bad = np.flatnonzero(sums != paths.column("check").to_numpy())
+            if len(bad):
+                wrong = np.unique(np.concatenate([edges.key[at[i] : last[i]] for i in bad.tolist()]))
+        return pa.table({"wrong": pa.array(wrong.view(np.int64), pa.int64())})
 
     return run
 
@@ -232,7 +252,7 @@ def range_number(value: Column, bounds: list[int]) -> Column:
 
 def repeated_spans(
     docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-    block_bytes: int = X.BLOCK_BYTES, bucket_keys: int = X.BUCKET_KEYS,
+    block_bytes: int = X.BLOCK_BYTES, bucket_keys: int = X.BUCKET_KEYS, key_bits: int = KEY_BITS,
 ) -> DataFrame:
     """The staged table of ``FOUND``: rows with ``n_words`` are documents, the others spans.
 
@@ -252,12 +272,13 @@ def repeated_spans(
         F.xxhash64(text_col).alias("text_hash"),
         range_number(place, sorted(set(bounds or []))).cast("int").alias("block"),
     )
-    for seed in range(SEEDS):
-        requests = rows.groupBy("block").applyInArrow(_requests(buckets, seed, window), REQUEST)
+    avoid = Avoid(key_bits)
+    while True:
+        requests = rows.groupBy("block").applyInArrow(_requests(buckets, avoid, window), REQUEST)
         answers = stage(requests.groupBy("bucket").applyInArrow(_answer, ANSWER), "edge-sources")
         X.free_shuffles(spark)
         found = stage(
-            rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_resolve(buckets, seed, window), FOUND),
+            rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_resolve(buckets, avoid, window), FOUND),
             "repeats",
         )
         X.free_shuffles(spark)
@@ -265,11 +286,11 @@ def repeated_spans(
             F.col("source_block").alias("block"), "source_ordinal", "words", "check"
         )
         checked = rows.groupBy("block").cogroup(paths.distinct().groupBy("block"))
-        wrong = checked.applyInArrow(_refuted(seed, window), "wrong long").agg(F.sum("wrong")).first()[0]
+        wrong = checked.applyInArrow(_refuted(avoid, window), "wrong long").distinct().collect()
         X.free_shuffles(spark)
         if not wrong:
             return found
-    raise RuntimeError(f"{SEEDS} seeds in a row gave two windows one hash")
+        avoid = replace(avoid, keys=(*avoid.keys, np.array(sorted(r.wrong for r in wrong), np.int64).view(np.uint64)))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", **sizes) -> DataFrame:

@@ -52,29 +52,29 @@ def test_paths_are_compacted_with_their_source(docs_of):
     assert [(r.doc_id, r.start, r.words, r.source_ordinal) for r in found] == [(2, 1, 60, 20), (3, 0, 40, 30)]
 
 
-def test_a_collision_is_refuted(docs_of, monkeypatch):
-    """With few key bits different windows share a key; the check finds it out under any seed."""
-    real = repeats.Edges._rolled
-
-    def narrow(self, which):
-        value = real(self, which)
-        return value % 64 if which == 0 else value
-
-    docs = docs_of([(i, words(60, 100 * i), "s") for i in range(4)])
-    rows = docs.select("doc_id", F.lit(0), F.lit(0), "text").collect()
-    # Groups run in worker processes, so the collision is made on a block directly.
+def test_collisions_are_found_and_avoided(docs_of):
+    """With few key bits many windows share a key; passes go on until no span is refuted."""
+    rows = [(i, words(90, 100 * i) + " " + words(30, 7000) + " " + words(5, 3 * i), "s") for i in range(12)]
+    docs = docs_of(rows)
+    wanted = sorted(tuple(r) for r in repeats.remove_repeats(docs).collect())
+    assert sorted(r[2] for r in wanted) == [0] + [30] * 11
+    for bits in (18, 14):
+        found = repeats.remove_repeats(docs, key_bits=bits, block_bytes=2000, bucket_keys=300).collect()
+        assert sorted(tuple(r) for r in found) == wanted
+
+
+def test_a_refuted_span_names_its_keys(docs_of):
+    import numpy as np
     import pyarrow as pa
 
-    table = pa.table({"doc_id": [r[0] for r in rows], "place": [r[0] for r in rows], "text": [r[3] for r in rows], "text_hash": [0] * 4})
-    monkeypatch.setattr(repeats.Edges, "_rolled", narrow)
-    key = (pa.scalar(0, pa.int32()),)
-    found = repeats._resolve(1, 0, 20)(key, table, repeats._table([], repeats.ANSWER)).to_pylist()
+    table = pa.table({"doc_id": range(6), "place": range(6), "text": [words(60, 100 * i) for i in range(6)], "text_hash": [0] * 6})
+    key, few = (pa.scalar(0, pa.int32()),), repeats.Avoid(6)
+    found = repeats._resolve(1, few, 20)(key, table, repeats._table([], repeats.ANSWER)).to_pylist()
     spans = [r for r in found if r["n_words"] is None]
-    assert spans
     paths = pa.table({c: [r[c] for r in spans] for c in ("source_ordinal", "words", "check")})
-    assert repeats._refuted(0, 20)(key, table, paths).column("wrong")[0].as_py() > 0
-    monkeypatch.undo()
-    clean = repeats._resolve(1, 0, 20)(key, table, repeats._table([], repeats.ANSWER)).to_pylist()
+    wrong = repeats._refuted(few, 20)(key, table, paths).column("wrong").to_numpy().view(np.uint64)
+    assert len(wrong) and set(wrong.tolist()) <= set(repeats.Edges(table, few, 20).key.tolist())
+    clean = repeats._resolve(1, repeats.Avoid(), 20)(key, table, repeats._table([], repeats.ANSWER)).to_pylist()
     assert not [r for r in clean if r["n_words"] is None]
 
 
