@@ -93,10 +93,10 @@ WHERE likeness.score > 0.95"""
     )
 )
 def link_fuzzy_indexed(spark, sf_dir):
-    """Every block has its postings counted, and is indexed where names meet less often there."""
+    """Blocks of some size have their postings counted, and are indexed where names meet less often there."""
     left, right = keyed(*feeds(spark, sf_dir))
     pairs = L.fuzzy_pairs(
-        left, right, ["state_province", "city"], "name", 0.95, P.LEFT_ID, P.RIGHT_ID, index_pairs=0
+        left, right, ["state_province", "city"], "name", 0.95, P.LEFT_ID, P.RIGHT_ID, index_pairs=1 << 14
     )
     return pairs.withColumn("score", F.round("score", 9))
 
