@@ -1,19 +1,22 @@
 """Personal data: fixed patterns, and more of the same by bootstrapped contextual extraction.
 
-DataFrame functions only.  The fixed patterns give emails, ip addresses, card and phone numbers.
-These are the seeds.  Words left of a seed are lexical patterns (the last word, the last two);
+DataFrame functions only.  The fixed patterns give emails, ip addresses, card and phone numbers, and
+secrets: strings of ``SECRET_LENGTH`` letters and digits or more, of many different ones, that are
+assigned (after ``=`` or ``:``, quoted or not).  These are the seeds.  Words left of a seed, with
+their punctuation, are lexical patterns (the last word, the last two, the last three);
 identifier-like runs (four digits or more) and groups that no seed covers are candidates and have
 such patterns too.  A group is a run of four digits or more with the runs that one space, slash, colon or
 bracket (and a space, slash, dot or dash beside it) joins to it, digit to digit; an IBAN written in
-groups; a run of hexadecimal groups and colons; or an email-like form (``a@b``, ``a(at)b``, ``a[at]b``).  The digits count over the whole group; with
-fewer, an identifier says nothing, and being named once it would be masked wherever it stands.
+groups; a run of hexadecimal groups and colons; or an email-like form (``a@b``, ``a(at)b``, ``a[at]b``).  The digits count over the whole group.
+A run of three characters or more with one to three digits is too common to be named by what it says: it
+is named place by place, by the patterns of that place alone, and counts among the identifiers of its patterns.
 A candidate inside a larger one can be named, but does not count as an identifier of a pattern,
 and yields to the larger one if both are named.  Patterns and distinct identifiers form a graph, scored in ``ROUNDS`` rounds:
 
     pattern     sum of the scores of its identifiers of a kind / (its identifiers + ``DOUBT``)
     identifier  1 - product over its patterns at ``CONFIDENT`` or more of (1 - score)
 
-Seeds keep score 1.  Candidates that end at ``CONFIDENT`` or more become spans of their best kind.
+Seeds keep score 1.  Candidates of four digits that end at ``CONFIDENT`` or more become spans of their best kind.
 Identifiers count once, however many copies of a document hold them.
 
 Positions are code points.  Spark's functions give matches and what lies between them, not
@@ -36,9 +39,12 @@ from pyspark.sql import functions as F
 from ..session import stage
 
 KINDS = ("email", "ip", "card", "phone")
+ALL_KINDS = (*KINDS, "secret")
 ROUNDS = 3
 DOUBT = 2.0
 CONFIDENT = 0.7
+SECRET_LENGTH = 20
+SECRET_VARIETY = 8  # different characters of a secret
 
 _IN_NUMBER, _IN_NAME, _OTHER = "\ue000", "\ue001", "\ue002"
 _IN_GROUP, _BRACKET, _COLON = "\ue003", "\ue004", "\ue005"
@@ -51,6 +57,8 @@ _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = rf"[0-9][0-9{_IN_NUMBER}]+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _CANDIDATE = r"(?<![A-Za-z0-9._@+-])(?:[A-Za-z._@+-]*+[0-9]){4}[A-Za-z0-9._@+-]*+"
+_FEW = r"(?<![A-Za-z0-9._@+-])(?!(?:[A-Za-z._@+-]*+[0-9]){4})(?=[A-Za-z._@+-]*+[0-9])[A-Za-z0-9._@+-]{3,}+"
+_SECRET = rf"(?<=[=:]\x20?[\x22']?)(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{{{SECRET_LENGTH},}}+"
 _IN_RUN = rf"A-Za-z0-9._@+{_IN_GROUP}{_BRACKET}{_COLON}-"
 _AT = r"(?:@|\x20?[(\[](?:at|AT)[)\]]\x20?)"
 _GROUP = (
@@ -106,17 +114,18 @@ def _valid() -> Column:
         F.when(F.col("kind") == "ip", F.col("m").rlike(rf"\A{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}\z"))
         .when(F.col("kind") == "card", n.between(14, 19) & _luhn(F.when(n <= 19, digits).otherwise("0")))
         .when(F.col("kind") == "phone", n.between(10, 15))
+        .when(F.col("kind") == "secret", F.size(F.array_distinct(F.split(F.lower("m"), ""))) >= SECRET_VARIETY)
         .otherwise(F.lit(True))
     )
 
 
 def _patterns() -> Column:
-    """The last word and the last two words left of a match, lower-cased."""
+    """The last one, two and three words left of a match, lower-cased; punctuation alone says nothing."""
     words = F.filter(F.split(F.lower("left"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     n = F.size(words)
     one = F.when(n >= 1, F.element_at(words, -1))
-    two = F.when(n >= 2, F.concat_ws(" ", F.slice(words, F.greatest(n - 1, F.lit(1)), 2)))
-    return F.array_compact(F.array(one, two))
+    more = [F.when(n >= k, F.concat_ws(" ", F.slice(words, F.greatest(n - (k - 1), F.lit(1)), k))) for k in (2, 3)]
+    return F.filter(F.array(one, *more), lambda p: F.coalesce(p.rlike(r"[\p{L}\p{N}]"), F.lit(False)))
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -132,23 +141,26 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         _hits(plain, _IP, "ip", text.rlike(r"[0-9]\.[0-9]")),
         _hits(numbers, _CARD, "card", digit),
         _hits(plain, _PHONE, "phone", F.contains(text, F.lit("+"))),
+        _hits(plain, _SECRET, "secret", digit & text.rlike("[=:]")),
         _hits(plain, _CANDIDATE, "candidate", digit),
+        _hits(plain, _FEW, "few", digit),
         _hits(groups, _GROUP, "group", digit | text.rlike(_AT)),
     )
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), hits.alias("hits"))
 
 
 def _placed(found: DataFrame) -> DataFrame:
-    """One row per match with its place: (row, kind, start, end, m, patterns)."""
+    """One row per match with its place: (row, kind, few, start, end, m, patterns)."""
     hits = found.select("row", F.explode("hits").alias("h")).select("row", "h.*")
     run = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.length("m")).over(run)
     placed = hits.withColumn("end", end).withColumn("start", F.col("end") - F.length("m"))
     # A stop at the end of a run of characters belongs to the sentence.
     tail = F.length(F.regexp_extract("m", r"[._+:-]+\z", 0))
-    is_candidate = F.col("kind").isin("candidate", "group")
+    is_candidate = F.col("kind").isin("candidate", "group", "few")
     return placed.filter(is_candidate | _valid()).select(
-        "row", F.when(is_candidate, F.lit("candidate")).otherwise(F.col("kind")).alias("kind"), "start",
+        "row", F.when(is_candidate, F.lit("candidate")).otherwise(F.col("kind")).alias("kind"),
+        (F.col("kind") == "few").alias("few"), "start",
         F.when(is_candidate, F.col("end") - tail).otherwise(F.col("end")).alias("end"),
         F.when(is_candidate, F.substring(F.col("m"), F.lit(1), F.length("m") - tail)).otherwise(F.col("m")).alias("m"),
         _patterns().alias("patterns"),
@@ -172,8 +184,15 @@ def _inside(keys: list) -> Column:
     return F.coalesce(F.max("end").over(before) >= F.col("end"), F.lit(False))
 
 
-def discovered(spans: DataFrame, rounds: int = ROUNDS, doubt: float = DOUBT, confident: float = CONFIDENT) -> DataFrame:
-    """(m, kind): candidates that confident patterns name, with their best kind."""
+def _rank() -> Column:
+    return F.array_position(F.array(*[F.lit(k) for k in ALL_KINDS]), F.col("kind"))
+
+
+def discovered(
+    spans: DataFrame, rounds: int = ROUNDS, doubt: float = DOUBT, confident: float = CONFIDENT
+) -> tuple[DataFrame, DataFrame]:
+    """(m, kind) of the candidates that confident patterns name, with their best kind; and the last
+    round's confident patterns (pattern, kind, trust)."""
     edges = spans.select("m", F.explode("patterns").alias("pattern"), "inner").groupBy("m", "pattern")
     edges = stage(edges.agg(F.min("inner").alias("inner")), "context-edges")
     counted = edges.filter(~F.col("inner"))
@@ -183,30 +202,43 @@ def discovered(spans: DataFrame, rounds: int = ROUNDS, doubt: float = DOUBT, con
     )
     scores = seeds
     for _ in range(rounds):
-        patterns = (
+        patterns = stage(
             counted.join(scores, "m")
             .groupBy("pattern", "kind")
             .agg(F.sum("score").alias("total"))
             .join(degree, "pattern")
             .withColumn("trust", F.col("total") / (F.col("n") + doubt))
             .filter(F.col("trust") >= confident)
-            .select("pattern", "kind", "trust")
+            .select("pattern", "kind", "trust"),
+            "context-patterns",
         )
         named = (
-            edges.join(stage(patterns, "context-patterns"), "pattern")
+            edges.join(patterns, "pattern")
             .groupBy("m", "kind")
-            .agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("score"))
+            .agg(_any_trust().alias("score"))
         )
         new = named.join(seeds.select("m", "kind"), ["m", "kind"], "left_anti")
         scores = stage(seeds.unionByName(new), "context-scores")
-    rank = reduce(lambda c, k: c.when(F.col("kind") == k, KINDS.index(k)), KINDS[1:], F.when(F.col("kind") == KINDS[0], 0))
-    best = F.max_by("kind", F.struct("score", -rank))
-    return (
+    best = F.max_by("kind", F.struct("score", -_rank()))
+    named = (
         scores.join(seeds.select("m").distinct(), "m", "left_anti")
         .filter(F.col("score") >= confident)
         .groupBy("m")
         .agg(best.alias("kind"))
     )
+    return named, patterns
+
+
+def _any_trust() -> Column:
+    return 1 - F.exp(F.sum(F.log(1 - F.col("trust"))))
+
+
+def named_by_place(spans: DataFrame, patterns: DataFrame, confident: float = CONFIDENT) -> DataFrame:
+    """(row, start, end, kind) of runs with few digits whose own patterns are confident of a kind."""
+    here = spans.filter("few AND NOT inner").select("row", "start", "end", F.explode("patterns").alias("pattern"))
+    kinds = here.join(patterns, "pattern").groupBy("row", "start", "end", "kind").agg(_any_trust().alias("score"))
+    best = F.max_by("kind", F.struct("score", -_rank())).alias("kind")
+    return kinds.filter(F.col("score") >= confident).groupBy("row", "start", "end").agg(best)
 
 
 def _joined(spans: Column) -> Column:
@@ -218,20 +250,23 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc_id, base, spans) of every row: arrays of (start, rank, kind, end)."""
     found = stage(_found(docs, id_col, text_col), "private-hits")
     spans = stage(_uncovered(_placed(found)), "private-spans")
-    seeds = spans.filter("kind <> 'candidate'").select("row", "kind", "start", "end", F.lit(True).alias("base"))
-    named = discovered(spans)
+    is_base = F.col("kind").isin(*KINDS).alias("base")
+    seeds = spans.filter("kind <> 'candidate'").select("row", "kind", "start", "end", is_base)
+    named, patterns = discovered(spans)
     more = (
-        spans.filter("kind = 'candidate'")
+        spans.filter("kind = 'candidate' AND NOT few")
         .drop("kind")
         .join(named, "m")
         .withColumn("inner", _inside(["row"]))
         .filter(~F.col("inner"))
         .select("row", "kind", "start", "end", F.lit(False).alias("base"))
     )
-    rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
+    placed = named_by_place(spans, patterns).select("row", "kind", "start", "end", F.lit(False).alias("base"))
+    rank = _rank()
     span = F.struct("start", rank.alias("rank"), "kind", "end")
     per_row = (
         seeds.unionByName(more)
+        .unionByName(placed)
         .groupBy("row")
         .agg(F.collect_list(F.when(F.col("base"), span)).alias("base"), F.collect_list(span).alias("spans"))
     )
@@ -246,8 +281,9 @@ def digest(found: DataFrame) -> DataFrame:
     """Counts of each kind, the digest of the base spans, and all spans as text."""
     counts = [F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select(
-        "doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
-    )
+        "doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
 
 
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -110,3 +110,69 @@ def test_masked_texts(docs_of):
     assert {r.doc_id: r.text for r in private_data.masked(docs).collect()} == {
         1: "Öl an [email] und [ip]!", 2: "", None: "x [ip]",
     }
+
+
+def test_secrets_are_seeds_and_their_contexts_find_others(docs_of):
+    rng = random.Random(8)
+    digits = "0123456789abcdef"
+    secret = ["".join(rng.choice(digits) for _ in range(40)) for _ in range(12)]
+    rows = [(i, f'set the api token = "{x}" and go', "a") for i, x in enumerate(secret)]
+    rows += [(50, 'set the api token = "zq81-77x" and go', "a"), (51, f"key:{secret[0].upper()}", "a")]
+    rows += [(60, 'x = "aaaaaaaaaaaaaaaaaaaaaaaaa1" or y = "' + "word" * 8 + '"', "a"), (61, f"the commit {secret[1]} is old", "a")]
+    found = {r[0]: (r[6], r[7]) for r in check(docs_of(rows))}
+    start = len('set the api token = "')
+    for i in range(12):
+        assert found[i] == (f"secret:{start}:{start + 40}", 1)
+    assert found[50] == (f"secret:{start}:{start + 8}", 1)
+    assert found[51] == ("secret:4:44", 1) and found[60] == ("", 0)
+
+
+def test_runs_with_few_digits_are_named_by_their_place(docs_of):
+    rows = [(i, f"please call me under +1 ({200 + i}) 555-{1000 + i} soon", "a") for i in range(30)]
+    rows += [(100, "please call me under x12y soon, or 112", "a"), (101, "we sold x12y and 112 of them", "a")]
+    found = {r[0]: r[6] for r in check(docs_of(rows))}
+    assert found[100] == "phone:21:25" and found[101] == ""
+
+
+def test_the_graph_equals_one_made_by_hand(docs_of, sample):
+    """Trust of patterns and scores of identifiers, round by round, over the spans of a corpus."""
+    rng = random.Random(3)
+    heads = ["call me under", "my card is", "write to", "order no", "see page"]
+    kinds = {"call me under": lambda: f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}", "write to": lambda: f"u{rng.randint(0, 99)}@host.com"}
+    rows = []
+    for i in range(150):
+        head = rng.choice(heads)
+        what = kinds[head]() if head in kinds and rng.random() < 0.8 else str(rng.randint(0, 10 ** rng.choice([2, 3, 6, 9])))
+        rows.append((i, f"please {head} {what} soon", "a"))
+    found = private_data._found(docs_of(rows).select("doc_id", "text").union(sample.select("doc_id", "text")), "doc_id", "text")
+    spans = private_data._uncovered(private_data._placed(found)).cache()
+    held = spans.collect()
+    edges, inner = {}, {}
+    for r in held:
+        for p in r.patterns:
+            edges.setdefault(p, {}).setdefault(r.m, []).append(r.inner)
+    counted = {p: {m for m, flags in ms.items() if not all(flags)} for p, ms in edges.items()}
+    seeds = {(r.m, r.kind) for r in held if r.kind != "candidate"}
+    score = {s: 1.0 for s in seeds}
+    for _ in range(private_data.ROUNDS):
+        trust = {}
+        for p, ms in counted.items():
+            for kind in private_data.ALL_KINDS:
+                total = sum(score.get((m, kind), 0.0) for m in ms)
+                if ms and total / (len(ms) + private_data.DOUBT) >= private_data.CONFIDENT:
+                    trust[p, kind] = total / (len(ms) + private_data.DOUBT)
+        left = {}
+        for (p, kind), t in trust.items():
+            for m in edges[p]:
+                left[m, kind] = left.get((m, kind), 1.0) * (1 - t)
+        score = {s: 1.0 for s in seeds} | {k: 1 - v for k, v in left.items() if k not in seeds}
+    known = {m for m, _ in seeds}
+    want = {}
+    for (m, kind), s in score.items():
+        if m not in known and s >= private_data.CONFIDENT:
+            rank = private_data.ALL_KINDS.index(kind)
+            want[m] = max(want.get(m, (0, -9, "")), (round(s, 9), -rank, kind))
+    named, patterns = private_data.discovered(spans)
+    assert {r.m: r.kind for r in named.collect()} == {m: w[2] for m, w in want.items()} and want
+    got = {(r.pattern, r.kind): r.trust for r in patterns.collect()}
+    assert got.keys() == trust.keys() and all(abs(got[k] - trust[k]) < 1e-9 for k in got)
