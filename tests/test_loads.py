@@ -118,6 +118,16 @@ def test_a_version_that_was_never_accepted_does_not_count(spark, tmp_path):
     assert S.read_table(spark, path).count() == 4
 
 
+def test_the_last_versions_stay_for_their_readers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    S.replace_table(spark.range(3), path)
+    before = S.read_table(spark, path)
+    S.replace_table(spark.range(4), path, keep=2)
+    assert before.count() == 3 and S.read_table(spark, path).count() == 4
+    S.replace_table(spark.range(5), path)
+    assert [p.name for p in tmp_path.joinpath("t").iterdir()] == ["version-000000003"]
+
+
 def test_files_with_differing_headers_match_by_name(spark, tmp_path):
     write(tmp_path / "a b.csv", 'id,name,x\n1,"a\nb",1.5\n')
     write(tmp_path / "c.csv", "name,x,id,more\nz,NA,2,q\n")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from recordloom.operators import quality as Q
+from recordloom.session import stage
 
 from .frames import table
 from .registry import query
@@ -206,3 +207,44 @@ def more_than_one(spark, sf_dir):
     from recordloom.operators.gold import more_than_one as groups
 
     return groups(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority", "priorities")
+
+
+@query(
+    """
+SELECT 'orders' AS feed, CASE WHEN count(*) = 0 THEN 'orders: no rows returned'
+                              WHEN count(o_custkey) = 0 THEN 'orders: columns entirely null [''o_custkey'']' END AS problem FROM orders
+UNION ALL
+SELECT 'unpriced', CASE WHEN count(*) = 0 THEN 'unpriced: no rows returned' END FROM orders WHERE o_totalprice < 0
+UNION ALL
+SELECT 'unnamed', CASE WHEN count(*) = 0 THEN 'unnamed: no rows returned'
+                       WHEN count(nullif(o_orderstatus, o_orderstatus)) = 0 THEN 'unnamed: columns entirely null [''status'']' END FROM orders
+UNION ALL
+SELECT 'short', 'short: missing required columns [''o_custkey'']'"""
+)
+def feed_checks(spark, sf_dir):
+    """What the feed checks say of the orders, of none of them, of an empty column and of a lacking one."""
+    orders = table(spark, sf_dir, "orders")
+    feeds = {
+        "orders": (orders, "o_custkey"),
+        "unpriced": (orders.filter("o_totalprice < 0"), "o_custkey"),
+        "unnamed": (orders.selectExpr("nullif(o_orderstatus, o_orderstatus) AS status"), "status"),
+        "short": (orders.drop("o_custkey"), "o_custkey"),
+    }
+    rows = []
+    for name, (df, column) in feeds.items():
+        try:
+            Q.FeedChecks(name, required=[column], some_known=[column]).run(df)
+            rows.append((name, None))
+        except Q.CheckError as problem:
+            rows.append((name, str(problem)))
+    return spark.createDataFrame(rows, "feed string, problem string")
+
+
+@query("SELECT least(5, count(*)) AS shown, least(5, count(*)) AS known FROM lineitem")
+def first_look(spark, sf_dir):
+    """The first rows of a feed as they come; all of them are rows of it."""
+    items = table(spark, sf_dir, "lineitem")
+    _, shown = Q.look(items.select("l_orderkey", "l_linenumber"), 5)
+    shown = stage(shown, "first-rows")
+    known = shown.join(items, ["l_orderkey", "l_linenumber"], "left_semi")
+    return shown.agg(F.count(F.lit(1)).alias("shown")).withColumn("known", known.agg(F.count(F.lit(1))).scalar())

@@ -64,19 +64,20 @@ def delimited_files_of_two_headers(spark, sf_dir):
     """SELECT event_id, user_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"""
 )
 def json_array_read(spark, sf_dir):
-    """Indented arrays of records with a nested object, one per user."""
+    """Indented arrays of records with a nested object, some thousand records in each and one in a file."""
     path = fresh(spark, "arrays")
     record = F.struct(
         "event_id", F.struct("user_id", "event_type").alias("who"), F.from_json("props", "k long").alias("props")
     )
-    arrays = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(record).alias("records"))
-    arrays.select(F.to_json("records", {"pretty": "true"}).alias("value"), "user_id").repartition("user_id").write.partitionBy(
-        "user_id"
-    ).text(path)
+    events = table(spark, sf_dir, "events")
+    chunks = -(-events.count() // 1000)
+    chunk = F.pmod(F.xxhash64("event_id"), F.lit(chunks)).alias("chunk")
+    arrays = events.groupBy(chunk).agg(F.collect_list(record).alias("records"))
+    arrays.select(F.to_json("records", {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     schema = T.StructType.fromDDL(
         "event_id long, who struct<user_id: long, event_type: string>, props struct<k: long>"
     )
-    back = R.read_json_records(spark, f"{path}/*", schema)
+    back = R.read_json_records(spark, path, schema)
     return back.select("event_id", "who.user_id", "who.event_type", "props.k")
 
 
