@@ -114,15 +114,17 @@ class Phrases:
         begins = offsets - lo
         inside = begins[begins < len(data)]
         first[inside] = is_word[inside]
+        last = is_word.copy()
+        last[:-1] &= ~is_word[1:] | first[1:]
         starts = np.flatnonzero(first)
+        ends = np.append(0, np.cumsum(np.flatnonzero(last) - starts + 1)).astype(np.int64)
         kept = _LOWER[data[is_word]]
-        ends = np.append(np.cumsum(is_word)[starts] - 1, len(kept)).astype(np.int64)
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(kept)])
         coded = words.dictionary_encode()
         self.words = coded.dictionary
         self.word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.doc = np.searchsorted(begins, starts, "right") - 1
-        self.piece = np.cumsum(kind == 2)[starts] + self.doc
+        self.piece = np.searchsorted(np.flatnonzero(kind == 2), starts) + self.doc
 
     def texts(self, chosen: np.ndarray) -> pa.RecordBatch:
         """(lang, words, phrase, n) of the phrases whose keys are chosen, and of each language's words in all."""
