@@ -14,7 +14,7 @@ are 64-bit hashes, so two n-grams are taken for one with a chance of about n^2 /
 
 Defined cases: null and empty texts are one end; without training texts all counts are 0; without
 tuning texts the weights are equal; repeated rows are counted and scored as often as they occur
-(they share a block, ids being keys); a null id counts as an id of its own; further
+(rows of one id and one text share a block); a null id counts as an id of its own; further
 columns are not read; an empty table gives no rows.
 """
 
@@ -237,7 +237,8 @@ def score_texts(
     size = X.text_bytes(docs, text_col)
     blocks, buckets = X.blocks_for(size, block_bytes), X.buckets_for(2 * size, bucket_keys)
     tuning_blocks = X.blocks_for(size // 10, block_bytes)
-    place = F.xxhash64(id_col)
+    # With the text, so that rows of one id lie in many blocks; their order does not matter.
+    place = F.xxhash64(id_col, text_col)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).alias("text"),
