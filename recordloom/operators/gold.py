@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..runs import RunFolder
 from ..session import stage
 from .joins import within_radius
 from .merge import Sources
@@ -307,19 +308,62 @@ def _measures(sources: Sources) -> dict:
     }
 
 
+_SUMMARY_KEYS = ("source_system", "category", "country")
+
+
+def statistics_summary(flat: DataFrame, sources: Sources, category: str = "category") -> DataFrame:
+    """Counts per (source, category, country), which add and subtract: all that statistics need."""
+    keys = ("source_system", F.col(category).alias("category"), F.col("country").alias("country"))
+    return flat.groupBy(*keys).agg(*[C.count_where(m).alias(n) for n, m in _measures(sources).items()])
+
+
+def added_summaries(summaries: DataFrame, sources: Sources) -> DataFrame:
+    """One summary row per key; keys of which nothing is left go."""
+    measures = list(_measures(sources))
+    added = summaries.groupBy(*_SUMMARY_KEYS).agg(*[F.sum(n).alias(n) for n in measures])
+    return added.filter(F.greatest(F.lit(0), *[F.abs(F.col(n)) for n in measures]) > 0)
+
+
+class StatisticsLog:
+    """Summaries in a folder of runs: each load adds what came and subtracts what went.
+
+    Statistics after a load read these rows only, of which a load has one per key that it touched.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, sources: Sources, category: str = "category"):
+        self.runs, self.sources, self.category = RunFolder(spark, path), sources, category
+        counts = ", ".join(f"{n} bigint" for n in _measures(sources))
+        self.schema = f"source_system string, category string, country string, {counts}"
+
+    def load(self, came: DataFrame, gone: DataFrame | None = None) -> None:
+        """``came`` has new rows and changed ones as they are now, ``gone`` the rows that these replace or that ended."""
+        change = statistics_summary(came, self.sources, self.category)
+        if gone is not None:
+            less = statistics_summary(gone, self.sources, self.category)
+            change = stack(change, less.withColumns({n: -F.col(n) for n in _measures(self.sources)}))
+        self.runs.write(self.runs.next_number(), {"summaries": added_summaries(change, self.sources)})
+
+    def summary(self) -> DataFrame:
+        return added_summaries(self.runs.read("summaries", self.schema), self.sources)
+
+    def statistics(self, top_countries: int = 4) -> DataFrame:
+        return statistics_of(self.summary(), self.sources, top_countries)
+
+    def compact(self) -> None:
+        self.runs.write(self.runs.next_number(), {"summaries": self.summary()}, base=True)
+
+
 def statistics(
     flat: DataFrame, sources: Sources, category: str = "category", top_countries: int = 4
 ) -> DataFrame:
-    """(section, key, n): totals, by source, by category, by country with the rest as Other.
+    """(section, key, n): totals, by source, by category, by country with the rest as Other."""
+    return statistics_of(statistics_summary(flat, sources, category), sources, top_countries)
 
-    The rows are reduced once to counts per (source, category, country), which are
-    staged; every section sums those few rows.
-    """
+
+def statistics_of(summary: DataFrame, sources: Sources, top_countries: int = 4) -> DataFrame:
+    """Statistics from summary rows, which are staged; every section sums those few rows."""
     measures = _measures(sources)
-    base = flat.groupBy(
-        "source_system", F.col(category).alias("category"), F.col("country").alias("country")
-    ).agg(*[C.count_where(m).alias(n) for n, m in measures.items()])
-    base = stage(base, "statistics")
+    base = stage(summary, "statistics")
 
     totals = base.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in measures])
     entries = ", ".join(f"'{n}', {n}" for n in measures)

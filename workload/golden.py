@@ -179,6 +179,20 @@ def statistics(spark, sf_dir):
     return G.statistics(flat_snapshot(spark, sf_dir), SOURCES, top_countries=2)
 
 
+@query(with_links("SELECT section, key, n FROM tall", MAPPING_SQL, IDENTITY_SQL, FLAT_SQL, TALL_SQL))
+def statistics_by_loads(spark, sf_dir):
+    """The same after two loads: entities were added, ended, and changed their category and phone."""
+    flat = stage(flat_snapshot(spark, sf_dir), "flat")
+    turn = F.pmod(F.xxhash64("gold_id"), F.lit(4))
+    changed = flat.filter(turn == 1)
+    before = changed.withColumns({"category": F.lit("planned"), "phone": F.lit(None).cast("string"), "country": F.lit("Elsewhere")})
+    ended = flat.filter(turn == 2).withColumn("gold_id", F.concat(F.lit("old_"), "gold_id"))
+    log = G.StatisticsLog(spark, new_path(spark, "statistics"), SOURCES)
+    log.load(flat.filter(turn > 1).union(before).union(ended))
+    log.load(flat.filter(turn == 0).union(changed), before.union(ended))
+    return log.statistics(top_countries=2)
+
+
 @query(
     with_links(
         """
