@@ -312,10 +312,11 @@ def with_twins(dim):
     return dim.unionByName(twins)
 
 
-def gold_tables(spark, sf_dir):
+def gold_tables(spark, sf_dir, located=True):
     """Mapping, identities, address rows, address dimension and first locations of one run.
 
     The core tables are staged, as a run would write them; several models read each.
+    Without ``located`` no locations are made.
     """
     left, right, mapping = mapped(spark, sf_dir)
     staged = A.stage_addresses(
@@ -325,9 +326,11 @@ def gold_tables(spark, sf_dir):
     )
     clustered = stage(A.cluster_addresses(A.normalized(staged)), "clustered")
     dim = A.address_dim(clustered, (SOURCES.left, SOURCES.right))
-    members = A.address_members(clustered, dim)
-    now = H.current_locations(mapping, members, P.LEFT_ID, P.RIGHT_ID, SOURCES)
-    locations = H.scd2_initial(now, AS_OF)
+    locations = None
+    if located:
+        members = A.address_members(clustered, dim)
+        now = H.current_locations(mapping, members, P.LEFT_ID, P.RIGHT_ID, SOURCES)
+        locations = H.scd2_initial(now, AS_OF)
     return mapping, identified(left, right, mapping), clustered, dim, locations, (left, right)
 
 
@@ -364,8 +367,8 @@ def gold_documents_flattened(spark, sf_dir):
     return flatten(G.nested_current(flat, P.LEFT_ID, P.RIGHT_ID, SOURCES))
 
 
-def reviewed(spark, sf_dir):
-    left, right = _addressed(spark, sf_dir)
+def reviewed(spark, sf_dir, sides=None):
+    left, right = (stage(df, "addressed") for df in _addressed(spark, sf_dir, sides))
     tiered = L.tier(L.scored_pairs(left, right, P.LEFT_ID, P.RIGHT_ID))
     flagged = L.review_flags(tiered, P.LEFT_ID, P.RIGHT_ID)
     return L.review_queue(
@@ -545,11 +548,11 @@ FROM measured""",
     )
 )
 def pipeline_metrics(spark, sf_dir):
-    mapping, _, clustered, dim, _, (left, right) = gold_tables(spark, sf_dir)
+    mapping, _, clustered, dim, _, (left, right) = gold_tables(spark, sf_dir, located=False)
     missing = Q.mapping_complete({P.LEFT_ID: left, P.RIGHT_ID: right}, mapping)
     remaining = Q.no_near_duplicates(with_twins(dim))
     measured = Q.pipeline_metrics(
-        clustered, dim, remaining, mapping, missing, reviewed(spark, sf_dir), P.LEFT_ID, P.RIGHT_ID
+        clustered, dim, remaining, mapping, missing, reviewed(spark, sf_dir, (left, right)), P.LEFT_ID, P.RIGHT_ID
     )
     return measured.withColumn("value", F.round("value", 9))
 
@@ -577,9 +580,9 @@ FROM (SELECT user_id, max(ifnull(valid_to, DATE '2024-03-01')) - min(valid_from)
 )
 def quality_report(spark, sf_dir):
     """The lifecycle is that of the event stream's users, some of whom are closed."""
-    mapping, _, _, dim, _, _ = gold_tables(spark, sf_dir)
+    mapping, _, _, dim, _, sides = gold_tables(spark, sf_dir, located=False)
     lives = located(spark, sf_dir).withColumnRenamed("user_id", "gold_id")
-    return Q.quality_report(mapping, reviewed(spark, sf_dir), lives, dim, dt.date(2024, 3, 1))
+    return Q.quality_report(mapping, reviewed(spark, sf_dir, sides), lives, dim, dt.date(2024, 3, 1))
 
 
 # Faults: some locations are listed twice, some point nowhere, some end before they start.

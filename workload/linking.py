@@ -276,10 +276,13 @@ flagged AS (
   WHERE match_reason IS NOT NULL)"""
 
 
-def _addressed(spark, sf_dir):
-    """Match frames with an address digest, and the detail columns of a review."""
+def _addressed(spark, sf_dir, sides=None):
+    """Match frames with an address digest, and the detail columns of a review.
+
+    ``sides`` are the two standard feeds, if they were read already.
+    """
     out = []
-    left, right = feeds(spark, sf_dir)
+    left, right = sides or feeds(spark, sf_dir)
     for df, own_id in ((left, P.LEFT_ID), (right, P.RIGHT_ID)):
         df = df.filter(C.trimmed_equals("country", P.COUNTRY))
         out.append(
