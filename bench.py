@@ -23,7 +23,8 @@ HEADLINE = (
     "address_dim row_numbering rank_in_group snapshot_intervals scd2_update succession relocations "
     "null_rates test_suite relationships_failures delimited_round_trip run_log "
     "gold_current gold_documents_flattened review_queue confidence_tiers whole_run pipeline_metrics quality_report "
-    "history_documents link_repeated_name delimited_files_of_two_headers json_array_read materialized_kinds"
+    "history_documents link_repeated_name delimited_files_of_two_headers json_array_read materialized_kinds "
+    "link_fuzzy_indexed address_clusters_by_batches"
 ).split()
 
 
