@@ -36,6 +36,7 @@ MOST_DOCS = 10
 OWN_SHARE = 0.2
 LEAST_LEFT = 0.3
 LEAST_WORDS = 50
+PART_ROWS = 256  # worked off at a time
 CHUNK_ROWS = 1024  # texts of one shared line that meet it in one task
 SYMBOLS = b"#*$%&|<>"
 _SHAPE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", b"abcdefghijklmnopqrstuvwxyz000000000")
@@ -86,8 +87,15 @@ def _text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("binary"), F.lit(b"")))
 
 
-def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some rows at a time, so that few texts are Python objects at once."""
     for batch in batches:
+        for begin in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(begin, PART_ROWS)
+
+
+def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
         lines, words = [], []
         for text in batch.column(2).cast(pa.binary()).to_pylist():
             found = {line_hash(line): len(line.split()) for line in (text or b"").split(b"\n") if line.split(None, 1)}
@@ -155,7 +163,7 @@ _RULE_TYPES = pa.struct(
 
 
 def _judge(least_left: float, carried: int, text_at: int | None, name: str):
-    """Rows are the carried columns, then the text and the shared lines that it holds."""
+    """Rows are the carried columns, then the text unless it is one of them, and the shared lines that it holds."""
 
     def judge(data: bytes, shared: frozenset[int]) -> tuple[dict, bytes]:
         n, chars, symbols, dup_lines, repeats = figures(data)
@@ -171,10 +179,10 @@ def _judge(least_left: float, carried: int, text_at: int | None, name: str):
         return dict(zip(_RULE_TYPES.names, values)), left
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(carried).cast(pa.binary())
+        for batch in _parts(batches):
+            texts = batch.column(carried if text_at is None else text_at).cast(pa.binary())
             rules, left = [], []
-            for text, shared in zip(texts, batch.column(carried + 1)):
+            for text, shared in zip(texts, batch.column(batch.num_columns - 1)):
                 found, rest = judge(text.as_py() or b"", frozenset(shared.as_py() or ()))
                 rules.append(found)
                 if text_at is not None:
@@ -207,9 +215,9 @@ def judged(
     same = (_host(docs[host_col]) == held[of]) & (_text_key(docs[text_col]) == held[key])
     # Merged at any size, so that disk grows with the input and skewed copies are split by bytes.
     met = docs.join(held.hint("merge"), same, "left")
-    rows = met.select(*carry, F.col(text_col).alias(text), lines)
-    fields = docs.select(*carry).schema.add(name, StructType.fromDDL(RULES))
     text_at = carry.index(text_col) if text_col in carry else None
+    rows = met.select(*carry, *([F.col(text_col).alias(text)] if text_at is None else []), lines)
+    fields = docs.select(*carry).schema.add(name, StructType.fromDDL(RULES))
     return rows.mapInArrow(_judge(least_left, len(carry), text_at, name), fields)
 
 
