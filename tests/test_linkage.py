@@ -192,3 +192,58 @@ def test_review_reasons(spark):
         ("1", "a"): "borderline_name", ("2", "b"): "same_address_diff_name",
         ("3", "c"): "multiple_matches", ("3", "d"): "multiple_matches",
     }
+
+
+def broadcasts(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("BroadcastHashJoin") + plan.count("BroadcastNestedLoopJoin")
+
+
+def test_links_are_never_sent_to_every_task(spark, tmp_path):
+    """Equal ids make a file of a few bytes, which says nothing of the rows in it."""
+    spark.range(50_000).selectExpr("concat('left', id % 3) AS l", "concat('right', id % 3) AS r", "'m' AS match_strategy").write.parquet(str(tmp_path / "links"))
+    links = spark.read.parquet(str(tmp_path / "links"))
+    # The feeds are large enough not to be sent themselves.
+    left = spark.range(600_000).selectExpr("concat('left', id) AS l", "repeat('n', 60) AS name")
+    right = spark.range(600_000).selectExpr("concat('right', id) AS r", "repeat('n', 60) AS name")
+    assert broadcasts(anti_not_in(left, "l", links, "l")) == 0
+    assert broadcasts(J.through_bridge(left, links.select("l", "r"), right, "l", "r")) == 0
+    assert anti_not_in(left, "l", links, "l").count() == 600_000 - 3
+
+
+def test_a_long_pair_passes_the_bound(spark):
+    """The product of two lengths passes 32 bits."""
+    text = "north road ales " * 4_000
+    left, right = frames(spark, [("1", text, "x", "or")], [("a", text + "!", "x", "or")])
+    found = L.fuzzy_pairs(left, right, ["city"], "name", 0.9, "l", "r").collect()
+    assert [(f.l, f.r) for f in found] == [("1", "a")]
+
+
+def test_best_links_are_the_best_of_the_listed_links(spark):
+    """Copies, repeated and null ids, null keys, equal scores, and ids that an earlier rule used."""
+    names = ["north road ales", "north road ale", "north roads ale", "acme", "acme brewing", "", None]
+    rows = [
+        (None if i % 23 == 22 else str(i % 40), names[(i * 5) % 7], "xy"[i % 2], ["or", "wa", None][i % 3]) for i in range(90)
+    ]
+    for left_rows, right_rows in (
+        ([r for r in rows if r[0]], [(r[0] and "r" + r[0], *r[1:]) for r in rows[::-1] if r[0]]),
+        (rows, [("r", *r[1:]) for r in rows[:9]]),
+        (rows[:30], [(r[0] and "r" + r[0], *r[1:]) for r in rows[20:]]),
+        (rows[:9], []),
+    ):
+        left, right = frames(spark, left_rows, right_rows)
+        listed = M.best_links(L.link(left, right, "l", "r"), "l", "r")
+        best = L.best_links(left, right, "l", "r")
+        assert best.columns == ["l", "r", "match_strategy", "score"]
+        as_rows = lambda df: sorted(map(str, df.select("l", "r", "match_strategy", "score").collect()))
+        assert as_rows(best) == as_rows(listed)
+
+
+def test_best_links_list_no_pairs_of_copies(spark, monkeypatch):
+    """2,000 copies on either side are four million links, of which none is written."""
+    copies = lambda n, key: spark.range(n).selectExpr(f"concat('{key}', id) AS {key}", "'acme' AS name", "'x' AS city", "'or' AS state_province")
+    written = []
+    monkeypatch.setattr(L, "stage", lambda df, label="stage", stage=L.stage: written.append(stage(df, label)) or written[-1])
+    best = L.best_links(copies(2_000, "l"), copies(2_000, "r"), "l", "r")
+    assert best.select("r").distinct().collect()[0].r == "r0" and best.count() == 2_000
+    assert max(df.count() for df in written) <= 2_000
