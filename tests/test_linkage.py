@@ -247,3 +247,23 @@ def test_best_links_list_no_pairs_of_copies(spark, monkeypatch):
     best = L.best_links(copies(2_000, "l"), copies(2_000, "r"), "l", "r")
     assert best.select("r").distinct().collect()[0].r == "r0" and best.count() == 2_000
     assert max(df.count() for df in written) <= 2_000
+
+
+def test_the_review_queue_is_numbered_without_its_names(spark, monkeypatch):
+    """Rows of one id that come twice are two rows of the queue; ids with two partners are flagged."""
+    ids = "string, name string, street_address string, address_hash string, latitude double, longitude double"
+    left = spark.createDataFrame([("1", "a", "s", "h", 1.0, 1.0), ("1", "b", "s", "h", 1.0, 1.0), ("2", "c", None, "k", 2.0, 1.0)], f"l {ids}")
+    right = spark.createDataFrame([("x", "a", "t", "h", 1.0, 1.0), ("y", "d", "t", "k", 2.0, 1.0)], f"r {ids}")
+    pairs = [("1", "x", 1.0, True), ("2", "x", 1.0, True), ("2", "y", 0.9, False)]
+    tiered = spark.createDataFrame([(*p, not p[3], False) for p in pairs], "l string, r string, score double, exact boolean, same_place boolean, same_address boolean")
+    numbered = []
+    monkeypatch.setattr(L, "number_rows", lambda df, *rest, number=L.number_rows: numbered.append(df.columns) or number(df, *rest))
+    queue = L.review_queue(L.review_flags(tiered, "l", "r"), left, right, "l", "r", dt.datetime(2024, 1, 1))
+    rows = sorted(queue.collect(), key=lambda r: r.review_id)
+    assert [r.review_id for r in rows] == [1, 2, 3, 4] and queue.columns[:4] == ["review_id", "l", "r", "left_name"]
+    assert sorted((r.l, r.r, r.left_name, r.right_name, r.match_reason) for r in rows) == [
+        ("1", "x", "a", "a", "multiple_matches"), ("1", "x", "b", "a", "multiple_matches"),
+        ("2", "x", "c", "a", "multiple_matches"), ("2", "y", "c", "d", "borderline_name"),
+    ]
+    assert [r.address_similarity > 0 for r in rows] == [False, False, True, False]
+    assert numbered == [["r", "l", "score", "match_reason", "_left_row", "_right_row"]]
