@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from recordloom.functions import similarity
 from recordloom.functions.similarity import (
     SIGNATURE_COLUMNS,
     could_exceed,
@@ -85,3 +86,29 @@ def test_bound_never_drops_a_hit(spark, threshold):
     kept = could_exceed("a", "b", threshold)
     counts = hits.agg(F.count(F.lit(1)), F.count(F.when(kept, 1))).first()
     assert counts[0] == counts[1] > 0
+
+
+def test_a_text_of_many_pairs_is_sorted_once(monkeypatch):
+    sorted_rows, real = [], similarity._matrix
+    monkeypatch.setattr(similarity, "_matrix", lambda raw, starts, lengths: sorted_rows.append(len(starts)) or real(raw, starts, lengths))
+    words = [f"{'harbor mill ' * (i % 7)}{i:03d} old house {'x' * (i % 5)}" for i in range(40)]
+    left, right = [w for w in words for _ in words], words * len(words)
+    assert score_pairs(pa.array(left), pa.array(right)) == pytest.approx(reference(left, right), abs=1e-12)
+    assert sum(sorted_rows) == len(words)
+
+
+def test_matches_at_the_edge_of_the_window():
+    """Bytes of one value whose first, second, ... occurrences lie too far apart, beside some that do not."""
+    rng = np.random.default_rng(8)
+    left, right = [], []
+    for _ in range(400):
+        body = list("etaoin" * 9)
+        for side in (left, right):
+            text = body.copy()
+            for rare in "qqzzjv":
+                text.insert(int(rng.integers(0, len(text))), rare)
+            side.append("".join(text[int(rng.integers(0, 9)) :]))
+    left, right = [*left, None, "", "a" * 300, "ab"], [*right, "a", "b", "a" * 7, "ba"]
+    got = score_pairs(pa.array(left), pa.array(right))
+    assert got[:400] == pytest.approx(reference(left[:400], right[:400]), abs=1e-12)
+    assert got[402:] == pytest.approx(reference(left[402:], right[402:]), abs=1e-12) and list(got[400:402]) == [0, 0]
