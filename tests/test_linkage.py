@@ -267,3 +267,33 @@ def test_the_review_queue_is_numbered_without_its_names(spark, monkeypatch):
     ]
     assert [r.address_similarity > 0 for r in rows] == [False, False, True, False]
     assert numbered == [["r", "l", "score", "match_reason", "_left_row", "_right_row"]]
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 1000])
+def test_exact_pairs_keep_repeated_and_null_ids(spark, chunk):
+    """Rows of one id are rows of their own; a null id is an id, a null key is none."""
+    names = ["acme", "blue", None, "acme", "", "oak"]
+    rows = [(None if i % 4 == 3 else str(i % 5), names[i % 6], "x", ["or", "wa", None][i % 7 % 3]) for i in range(40)]
+    left, right = frames(spark, rows, rows[::-3] + rows[:4])
+    want = sorted(
+        (str(a[0]), str(b[0]))
+        for a, b in itertools.product(rows, rows[::-3] + rows[:4])
+        if None not in (a[1], a[3]) and (a[1], a[3]) == (b[1], b[3])
+    )
+    found = L.exact_pairs(left, right, ["name", "state_province"], "l", "r", chunk)
+    assert found.columns == ["l", "r"] and want
+    assert sorted((str(r.l), str(r.r)) for r in found.collect()) == want
+
+
+@pytest.mark.parametrize("ids", ["concat('{0}', id)", "'{0}'", "CAST(NULL AS STRING)"])
+def test_exact_pairs_of_one_name_spread_over_tasks(spark, ids):
+    """Its rows are small and its pairs many: they must not meet in one task, whatever their ids."""
+    rows = lambda n, side: spark.range(n).selectExpr(f"{ids.format(side)} AS {side}", "'old oak house' AS name", "'or' AS state_province")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = L.exact_pairs(rows(3_000, "l"), rows(2_000, "r"), ["name", "state_province"], "l", "r")
+        by_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(by_task) == 3_000 * 2_000
+    assert max(by_task) < 0.5 * sum(by_task)
