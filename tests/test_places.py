@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions.geo import EARTH_RADIUS_M, METRES_PER_MILE, haversine_m
 from recordloom.operators import addresses as A
+from recordloom.operators import graph
 from recordloom.operators.graph import connected_components
 from recordloom.operators.joins import pairs_within, within_radius
 
@@ -144,3 +145,28 @@ def test_crowded_spot_needs_one_edge_per_address(spark):
     edges = A._nearby_edges(df, 50)
     assert edges.count() == 28 + 1
     assert len(groups(A.cluster_addresses(df))) == 1
+
+
+def test_clusters_broadcast_no_data(spark):
+    """Files are far smaller than what a broadcast of them holds, so only lists of hot keys may be sent."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+
+    def joins(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "_chunks" not in line and "LeftOuter" not in line]
+
+    edges = spark.createDataFrame([("b", "a"), ("c", "b")], "u string, v string")
+    points = A.placed_points(
+        spark.createDataFrame([(45.0 + i / 5000, 7.0) for i in range(20)], "latitude double, longitude double"), 50
+    )
+    rows = spark.createDataFrame(
+        [(f"{i:032x}", f"{i} main st", "x", "y", 45.0 + i / 5000, 7.0) for i in range(20)],
+        "address_hash string, street_norm string, city_norm string, state_norm string, latitude double, longitude double",
+    )
+    clustered = A.cluster_addresses(rows)
+    assert joins(graph._large_star(edges)) + joins(graph._small_star(edges)) == []
+    assert joins(A._touching_cells(points, points, 50)) == []
+    assert joins(A.named_components(edges.select(F.lpad("u", 32, "0").alias("u"), F.lpad("v", 32, "0").alias("v")))) == []
+    plan = clustered._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert clustered.select("cluster_id").distinct().count() == 1
