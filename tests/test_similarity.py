@@ -112,3 +112,22 @@ def test_matches_at_the_edge_of_the_window():
     got = score_pairs(pa.array(left), pa.array(right))
     assert got[:400] == pytest.approx(reference(left[:400], right[:400]), abs=1e-12)
     assert got[402:] == pytest.approx(reference(left[402:], right[402:]), abs=1e-12) and list(got[400:402]) == [0, 0]
+
+
+@pytest.mark.parametrize("cells", [1 << 21, 300])
+def test_pairs_of_one_text_are_scored_together(monkeypatch, cells):
+    """Near texts, rare bytes beyond the window, lengths that differ much, one text too long for a matrix."""
+    rng = np.random.default_rng(5)
+    singly, real = [], similarity._jaro_winkler_block
+    monkeypatch.setattr(similarity, "_CELLS", cells)
+    monkeypatch.setattr(similarity, "_jaro_winkler_block", lambda texts, a, b: singly.append(len(a)) or real(texts, a, b))
+    alphabets = "etaoin shr", "etaoin shrdlu qzxjv", "abé😀 ü"
+    words = ["".join(rng.choice(list(alphabets[i % 3]), rng.integers(1, 160))) for i in range(24)]
+    words += [f"{w[: len(w) // 2]}{chr(97 + i)}{w[len(w) // 2 :]}q" for i, w in enumerate(words)]
+    left, right = [w for w in words for _ in words], words * len(words)
+    assert score_pairs(pa.array(left), pa.array(right)) == pytest.approx(reference(left, right), abs=1e-12)
+    assert sum(singly) == 0
+    long = "ab " * similarity._LONG
+    left, right = [long, *words, None, "", words[0]], [*words, long, "a", "a", None]
+    assert score_pairs(pa.array(left), pa.array(right))[:-3] == pytest.approx(reference(left[:-3], right[:-3]), abs=1e-12)
+    assert sum(singly) == len(words) + 1
